@@ -90,7 +90,7 @@ def confusion_matrix(judged: DataFrame) -> DataFrame:
     return (
         judged.groupBy("label")
         .pivot("prediction", [False, True])
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .select(
             "label",
             F.coalesce(F.col("false"), F.lit(0)).alias("predicted_false"),

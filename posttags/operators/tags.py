@@ -18,7 +18,8 @@ def tag_rows(posts: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def tag_counts(posts: DataFrame) -> DataFrame:
-    return tag_rows(posts).groupBy("tag").agg(F.count("*").alias("n"))
+    tags = posts.select(F.explode("tags").alias("tag"))
+    return tags.groupBy("tag").agg(F.count("*").alias("n"))
 
 
 def distinct_tags(posts: DataFrame) -> DataFrame:
