@@ -33,7 +33,8 @@ CTES = {
     "tf": """
         SELECT c.doc_id, term, cnt, cnt / n_tokens AS tf
         FROM counts c JOIN lengths l ON c.doc_id = l.doc_id""",
-    "dfs": "SELECT term, count(*) AS df, sum(cnt) AS cf FROM counts GROUP BY term",
+    "dfs": """
+        SELECT term, count(*) AS df, CAST(sum(cnt) AS BIGINT) AS cf FROM counts GROUP BY term""",
     "idf_r": "SELECT term, df, n / df AS idf FROM dfs, n",
     "idf_s": """
         SELECT term, df, cf,
@@ -55,7 +56,7 @@ CTES = {
     "totals": "SELECT term, cf, df, idf, cf * idf AS total FROM idf_s",
     "top": f"""
         SELECT term, idf, total, rank FROM (
-            SELECT *, row_number() OVER (ORDER BY round(total, 9) DESC, term) - 1 AS rank
+            SELECT *, CAST(row_number() OVER (ORDER BY round(total, 9) DESC, term) - 1 AS INTEGER) AS rank
             FROM totals WHERE total <> 0) WHERE rank < {TOP_TERMS}""",
     "reduced": """
         SELECT doc_id, rank, cnt * idf AS value
@@ -76,7 +77,7 @@ CTES = {
         SELECT a.doc_id AS id0, b.doc_id AS id1
         FROM documents a JOIN documents b ON b.doc_id = a.doc_id - 1""",
     "slots": """
-        SELECT vec_id AS id, generate_subscripts(embedding, 1) - 1 AS idx,
+        SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS idx,
                CAST(unnest(embedding) AS DOUBLE) AS value
         FROM embeddings""",
     "text_lists": f"""
@@ -226,7 +227,7 @@ def oracle() -> dict[str, str]:
         "peek": """SELECT doc_id, text, (SELECT count(*) FROM documents) AS n_rows
                    FROM documents ORDER BY doc_id LIMIT 3""",
         "tokenize": _sql(
-            """SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS pos,
+            """SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS INTEGER) AS pos,
                token FROM words""", *_WORDS),
         "inverted_index": _sql("SELECT token, doc_id FROM words", *_WORDS),
         "token_total": _sql("SELECT count(*) AS n_tokens FROM words", *_WORDS),
@@ -246,7 +247,7 @@ def oracle() -> dict[str, str]:
         "top_terms": _sql("SELECT term, round(total, 6) AS total, rank FROM top", *_TOP),
         "top_terms_collapsed": _sql(
             f"""SELECT term, round(total, 6) AS total, rank FROM (
-                SELECT *, row_number() OVER (ORDER BY round(total, 9) DESC, term) - 1 AS rank
+                SELECT *, CAST(row_number() OVER (ORDER BY round(total, 9) DESC, term) - 1 AS INTEGER) AS rank
                 FROM (SELECT min(term) AS term, any_value(total) AS total FROM totals
                       WHERE total <> 0 GROUP BY cf, df)) WHERE rank < {TOP_TERMS}""",
             *_SMOOTH, "totals"),
@@ -292,7 +293,7 @@ def oracle() -> dict[str, str]:
         "train_test_split": f"SELECT doc_id, {_split('doc_id')} AS is_train FROM documents",
         "train_semi": _sql(f"SELECT tag, doc_id FROM post_tags WHERE {_split('doc_id')}", "posts", "post_tags"),
         "tag_posting_lists": _sql(
-            "SELECT tag, count(*) AS n, sum(doc_id) AS id_sum FROM post_tags GROUP BY tag", "posts", "post_tags"),
+            "SELECT tag, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS id_sum FROM post_tags GROUP BY tag", "posts", "post_tags"),
         "knn_neighbors": _sql(_NEAR, "points", extra=_knn("points")),
         "knn_predict_all": _sql("SELECT test_id, tag FROM predicted", "points", extra=_knn("points")),
         "knn_predict_first": _sql(
@@ -307,7 +308,7 @@ def oracle() -> dict[str, str]:
         "tag_confusion": _sql("SELECT * FROM confusion", "points", extra=_knn("points")),
         "tag_metrics": _sql(_METRICS, "points", extra=_knn("points")),
         "knn_hit_rate": _sql(
-            """SELECT count(*) AS n_tested, sum(hit) AS hits, round(avg(hit), 6) AS hit_rate FROM (
+            """SELECT count(*) AS n_tested, CAST(sum(hit) AS BIGINT) AS hits, round(avg(hit), 6) AS hit_rate FROM (
                SELECT a.test_id, max(CASE WHEN p.tag IS NULL THEN 0 ELSE 1 END) AS hit
                FROM actual a LEFT JOIN predicted p ON a.test_id = p.test_id AND a.tag = p.tag
                GROUP BY a.test_id)""", "points", extra=_knn("points")),
@@ -325,8 +326,8 @@ def oracle() -> dict[str, str]:
             f"SELECT id, label, prediction FROM decided WHERE {_NB_ONE} AND NOT ({_split('id')})",
             "points", "slots", extra=_bayes(fitted=_split("id"))),
         "nb_confusion": _sql(
-            f"""SELECT label, sum(CASE WHEN prediction THEN 0 ELSE 1 END) AS predicted_false,
-                sum(CASE WHEN prediction THEN 1 ELSE 0 END) AS predicted_true
+            f"""SELECT label, CAST(sum(CASE WHEN prediction THEN 0 ELSE 1 END) AS BIGINT) AS predicted_false,
+                CAST(sum(CASE WHEN prediction THEN 1 ELSE 0 END) AS BIGINT) AS predicted_true
                 FROM decided WHERE {_NB_ONE} GROUP BY label""", "points", "slots", extra=_bayes()),
         "nb_predict_all_tags": _sql(
             "SELECT id, tag FROM decided WHERE prediction", "points", "slots", extra=_bayes()),
@@ -346,4 +347,4 @@ def oracle() -> dict[str, str]:
     }
 
 
-_NEAR = "SELECT test_id, train_id, round(distance, 6) AS distance, rn FROM near"
+_NEAR = "SELECT test_id, train_id, round(distance, 6) AS distance, CAST(rn AS INTEGER) AS rn FROM near"
