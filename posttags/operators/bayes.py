@@ -9,6 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from posttags.functions import vectors as vx
+from posttags.functions.rows import unfold, unfold_numbered
 
 TAGS_PER_PASS = 500  # tags whose parameters one scoring pass carries
 # Below this share of the corpus spread, a difference of sums counts as "no spread".
@@ -26,9 +27,9 @@ def class_stats(judged: DataFrame) -> DataFrame:
 
 def column_stats(judged: DataFrame) -> DataFrame:
     """``is_pos, dim, mean, variance``: class statistics in long form."""
-    return class_stats(judged).select(
-        "is_pos", F.posexplode(F.arrays_zip("mean", "variance")).alias("dim", "s")
-    ).select("is_pos", "dim", "s.mean", "s.variance")
+    both = F.arrays_zip("mean", "variance")
+    rows = unfold_numbered(class_stats(judged), both, "dim", "s", "is_pos")
+    return rows.select("is_pos", "dim", "s.mean", "s.variance")
 
 
 def class_prior(judged: DataFrame) -> DataFrame:
@@ -147,12 +148,8 @@ def predict_tags(
     for number in range(passes):
         share = models.where(F.pmod(F.xxhash64("tag"), F.lit(passes)) == number)
         packed = share.agg(F.collect_list(F.struct(*models.columns)))
-        scored = vectors.withColumn("_models", packed.scalar()).select(
-            id_col,
-            F.explode(
-                F.filter("_models", lambda model: decide(F.col("features"), model))
-            ).alias("_model"),
-        )
+        chosen = F.filter("_models", lambda model: decide(F.col("features"), model))
+        scored = unfold(vectors.withColumn("_models", packed.scalar()), chosen, "_model", id_col)
         part = scored.select(id_col, F.col("_model.tag").alias("tag"))
         found = part if found is None else found.unionByName(part)
     return found

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from posttags.functions import text as tx
+from posttags.functions.rows import hold, unfold, unfold_numbered
 from posttags.skew import lookup
 
 
@@ -22,12 +23,12 @@ def tokenise(
 
 def token_rows(tokenised: DataFrame) -> DataFrame:
     """One row per token with its place in the post."""
-    return tokenised.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+    return unfold_numbered(tokenised, F.col("tokens"), "pos", "token", "doc_id")
 
 
 def inverted_rows(tokenised: DataFrame) -> DataFrame:
     """``token, doc_id`` for every occurrence."""
-    return tokenised.select(F.explode("tokens").alias("token"), "doc_id")
+    return unfold(tokenised, F.col("tokens"), "token", "doc_id").select("token", "doc_id")
 
 
 def token_total(tokenised: DataFrame) -> DataFrame:
@@ -36,23 +37,38 @@ def token_total(tokenised: DataFrame) -> DataFrame:
 
 def vocabulary(tokenised: DataFrame) -> DataFrame:
     """The distinct tokens."""
-    return tokenised.select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
+    return unfold(tokenised, F.array_distinct("tokens"), "token").distinct()
 
 
 def term_counts(tokenised: DataFrame) -> DataFrame:
-    """``doc_id, term, cnt, tf``: count of a term in its post, and its share of the post.
+    """``doc_id, term, cnt, tf``: count of a term in its post, and its share of the post."""
+    return value_counts(tokenised, F.col("tokens")).select(
+        "doc_id", F.col("value").alias("term"), "cnt", (F.col("cnt") / F.col("n")).alias("tf")
+    )
+
+
+def value_counts(rows: DataFrame, values: Column) -> DataFrame:
+    """``doc_id, n, value, cnt``: how often each value occurs in the row's own list.
 
-    A post is one input row, so the partial aggregation already merges all repeats and
-    the shuffle carries one row per distinct term of a post.
+    A post is one row, so its counts need no shuffle: the list is sorted, the ends of its
+    runs are found, and each run's length is its end less the end before.
     """
-    return (
-        tokenised.select(
-            "doc_id", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("term")
-        )
-        .groupBy("doc_id", "n_tokens", "term")
-        .agg(F.count("*").alias("cnt"))
-        .select("doc_id", "term", "cnt", (F.col("cnt") / F.col("n_tokens")).alias("tf"))
+    ordered = hold(rows, F.sort_array(values), "_sorted", "doc_id").where(F.size("_sorted") > 0)
+    n = F.size("_sorted")
+    run_ends = F.filter(
+        F.sequence(F.lit(1), n),
+        lambda i: (i == n) | (F.get("_sorted", i) != F.get("_sorted", i - 1)),
+    )
+    cut = hold(ordered, run_ends, "_ends", "doc_id", "_sorted")
+    before = F.concat(F.array(F.lit(0)), F.slice("_ends", F.lit(1), F.size("_ends") - 1))
+    runs = F.zip_with(
+        "_ends",
+        before,
+        lambda end, start: F.struct(
+            F.get("_sorted", end - 1).alias("value"), (end - start).cast("bigint").alias("cnt")
+        ),
     )
+    return cut.select("doc_id", n.alias("n"), F.inline_outer(runs))
 
 
 def post_copies(tokenised: DataFrame) -> DataFrame:
@@ -81,5 +97,5 @@ def distinct_bags(tokenised: DataFrame) -> DataFrame:
 
 def _with_bag_key(tokenised: DataFrame) -> DataFrame:
     # No token holds a blank, so the joined sorted list identifies the bag.
-    bag = F.sha2(F.array_join(F.array_sort("tokens"), " "), 256)
+    bag = F.sha2(F.array_join(F.sort_array("tokens"), " "), 256)
     return tokenised.where(F.size("tokens") > 0).select("doc_id", bag.alias("bag"))

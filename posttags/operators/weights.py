@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from posttags.functions import text as tx
+from posttags.operators.tokens import value_counts
 from posttags.session import materialise
 from posttags.skew import HOT_ROWS, lookup
 
@@ -45,8 +46,8 @@ def tfidf(
     """``doc_id, term, cnt, df, weight``; rows of weight 0 are dropped in smooth form.
 
     df is the number of rows a term has, so the hot terms are known without a count.
-    Terms of weight 0 never reach the join. ``counts`` is best a stage, as it is read for
-    the IDF table and again for the join.
+    Terms of weight 0 never reach the join. ``counts`` is read twice, for the IDF table and
+    for the join; from ``tokens.term_counts`` that is a scan of the posts without a shuffle.
     """
     table = materialise(idf(counts, n, kind, min_df), "idf")
     if kind == SMOOTH:
@@ -60,16 +61,8 @@ def tfidf(
 
 def hashed_counts(tokenised: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
     """``doc_id, term, cnt`` with the term replaced by its MD5 bucket."""
-    counts = (
-        tokenised.select("doc_id", F.explode("tokens").alias("token"))
-        .groupBy("doc_id", "token")
-        .agg(F.count("*").alias("cnt"))
-    )
-    return (
-        counts.select("doc_id", tx.md5_bucket(F.col("token"), buckets).alias("term"), "cnt")
-        .groupBy("doc_id", "term")
-        .agg(F.sum("cnt").alias("cnt"))
-    )
+    hashed = F.transform("tokens", lambda token: tx.md5_bucket(token, buckets))
+    return value_counts(tokenised, hashed).select("doc_id", F.col("value").alias("term"), "cnt")
 
 
 def term_totals(counts: DataFrame, n: Column, kind: str, min_df: int = 2) -> DataFrame:

@@ -29,7 +29,7 @@ def tfidf_of(
     posts: DataFrame, kind: str, stopwords: Sequence[str] = tx.ENGLISH_STOPWORDS
 ) -> DataFrame:
     """Posts -> ``doc_id, term, cnt, df, weight``."""
-    counts = materialise(tk.term_counts(tk.tokenise(posts, stopwords)), "counts")
+    counts = tk.term_counts(tk.tokenise(posts, stopwords))
     return wt.tfidf(counts, wt.n_posts(posts), kind)
 
 
@@ -39,7 +39,7 @@ def hashed_tfidf_of(
     stopwords: Sequence[str] = tx.ENGLISH_STOPWORDS,
 ) -> DataFrame:
     """Posts -> smooth TF-IDF over MD5 buckets; ``term`` is the bucket."""
-    counts = materialise(wt.hashed_counts(tk.tokenise(posts, stopwords), buckets), "counts")
+    counts = wt.hashed_counts(tk.tokenise(posts, stopwords), buckets)
     return wt.tfidf(counts, wt.n_posts(posts), wt.SMOOTH)
 
 

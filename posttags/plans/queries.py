@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from posttags.functions import text as tx, vectors as vx
+from posttags.functions.rows import unfold_numbered
 from posttags.operators import (
     bayes,
     evaluate,
@@ -77,7 +78,8 @@ def _text_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     reduced = select.dense_arrays(jobs.reduce_posts(docs, TOP_TERMS))
     tags = _posts(spark, sf_dir).select("doc_id", "tags")
-    return reduced.join(tags, "doc_id").select(F.col("doc_id").alias("id"), "features", "tags")
+    points = reduced.join(tags, "doc_id").select(F.col("doc_id").alias("id"), "features", "tags")
+    return materialise(points, "text-points")
 
 
 def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -247,7 +249,7 @@ def _pca_points(spark, sf_dir):
 
 
 def pca_transform(spark, sf_dir):
-    rows = _pca_points(spark, sf_dir).select("id", F.posexplode("features").alias("axis", "value"))
+    rows = unfold_numbered(_pca_points(spark, sf_dir), F.col("features"), "axis", "value", "id")
     return _rounded(rows.withColumn("value", F.abs("value")), "value")
 
 
@@ -255,7 +257,7 @@ def pca_documents(spark, sf_dir):
     vectors = jobs.reduce_posts(_documents(spark, sf_dir), TOP_TERMS)
     vectors = materialise(vectors, "reduced")
     _, projected = jobs.pca_of(vectors, "doc_id", 10)
-    return projected.select("doc_id", F.posexplode(vector_to_array("features")).alias("axis", "value"))
+    return unfold_numbered(projected, vector_to_array("features"), "axis", "value", "doc_id")
 
 
 def pca_nb(spark, sf_dir):
@@ -273,19 +275,18 @@ def _neighbouring_ids(spark, sf_dir):
     return before.join(ids.select(F.col("doc_id").alias("id0")), "id0")
 
 
-def _ratio_weights(spark, sf_dir):
-    return materialise(jobs.tfidf_of(_documents(spark, sf_dir), wt.RATIO), "weights")
+def _nested(spark, sf_dir):
+    weights = jobs.tfidf_of(_documents(spark, sf_dir), wt.RATIO)
+    return materialise(similarity.nest(weights), "nested")
 
 
 def common_tokens(spark, sf_dir):
-    return similarity.common_tokens(
-        _neighbouring_ids(spark, sf_dir), _ratio_weights(spark, sf_dir)
-    )
+    return similarity.common_tokens(_neighbouring_ids(spark, sf_dir), _nested(spark, sf_dir))
 
 
 def cosine_of_pairs(spark, sf_dir):
     pairs = _neighbouring_ids(spark, sf_dir)
-    return _rounded(similarity.cosine_of(pairs, _ratio_weights(spark, sf_dir)), "cosine")
+    return _rounded(similarity.cosine_of(pairs, _nested(spark, sf_dir)), "cosine")
 
 
 def post_copies(spark, sf_dir):

@@ -114,15 +114,15 @@ def test_cosine_repeat_weighting(small_posts, tokenised, counts):
 
 
 def test_cosine_of_given_pairs(spark, small_posts, counts):
-    weights = wt.tfidf(counts, wt.n_posts(small_posts), "ratio")
+    posts = similarity.nest(wt.tfidf(counts, wt.n_posts(small_posts), "ratio"))
     asked = [*EXPECTED_COSINES, (2, 0), (0, 0)]
     pairs = spark.createDataFrame(asked, "id0 bigint, id1 bigint")
     got = {
         (r.id0, r.id1): round(r.cosine, 6)
-        for r in similarity.cosine_of(pairs, weights, hot_rows=2).collect()
+        for r in similarity.cosine_of(pairs, posts, hot_rows=2).collect()
     }
     assert got == EXPECTED_COSINES | {(0, 0): 1.0}
-    shared = similarity.common_tokens(spark.createDataFrame([(0, 1), (0, 0)], pairs.schema), weights)
+    shared = similarity.common_tokens(spark.createDataFrame([(0, 1), (0, 0)], pairs.schema), posts)
     assert sorted((r.id1, r.token, r.repeats) for r in shared.collect()) == [
         (0, "java", 1), (0, "pool", 1), (0, "thread", 2), (1, "java", 1),
     ]
