@@ -119,6 +119,7 @@ class CellShapes:
 
 def _file_points(points: DataFrame, centres) -> DataFrame:
     """Adds ``cell`` (closest pivot) and ``radius`` (distance to it)."""
+    rows_per_step = max(1, SEARCH_BYTES // 8 // len(centres))
 
     def assign(batches):
         import numpy as np
@@ -130,23 +131,21 @@ def _file_points(points: DataFrame, centres) -> DataFrame:
             block = flat.reshape(batch.num_rows, -1)
             cell = np.empty(len(block), dtype=np.int32)
             radius = np.empty(len(block))
-            step = max(1, SEARCH_STEP // centres.shape[0])
-            for start in range(0, len(block), step):
-                part = block[start : start + step]
+            for start in range(0, len(block), rows_per_step):
+                some = slice(start, start + rows_per_step)
+                part = block[some]
                 square = (
                     (part * part).sum(1)[:, None]
                     - 2 * part @ centres.T
                     + (centres * centres).sum(1)[None, :]
                 )
-                close = square.argmin(1)
-                cell[start : start + step] = close
-                radius[start : start + step] = np.linalg.norm(part - centres[close], axis=1)
+                cell[some] = square.argmin(1)
+                radius[some] = np.linalg.norm(part - centres[cell[some]], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cell), pa.array(radius)],
                 ["id", "ids", "features", "cell", "radius"],
             )
 
-    SEARCH_STEP = SEARCH_BYTES // 8
     return points.mapInArrow(
         assign,
         "id bigint, ids array<bigint>, features array<double>, cell int, radius double",
@@ -181,20 +180,18 @@ def _plan_visits(test: DataFrame, cells: CellShapes) -> DataFrame:
     point lies beyond that bound cannot contribute.
     """
     centres, near, far, radii = cells.centres, cells.nearest_edge, cells.farthest_edge, cells.radii
+    (n_cells, k), rounding = radii.shape, 10.0**-DIGITS
+    step = max(1, SEARCH_BYTES // 8 // (n_cells * k))
 
     def choose(batches):
         import numpy as np
 
-        n_cells, k = radii.shape
-        gaps = np.linalg.norm(centres[:, None, :] - centres[None, :, :], axis=2) if (
-            n_cells * n_cells * centres.shape[1] <= SEARCH_STEP
-        ) else np.array([np.linalg.norm(centres - c, axis=1) for c in centres])
+        gaps = np.array([np.linalg.norm(centres - centre, axis=1) for centre in centres])
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             block = flat.reshape(batch.num_rows, -1)
-            step = max(1, SEARCH_STEP // (n_cells * k))
             lists = []
             for start in range(0, len(block), step):
                 part = block[start : start + step]
@@ -206,7 +203,7 @@ def _plan_visits(test: DataFrame, cells: CellShapes) -> DataFrame:
                 far_off = np.sqrt(np.maximum(square, 0))
                 # Rounding error of the matrix product, and of the rounded distances.
                 scale = 1 + (part * part).sum(1) + (centres * centres).sum(1).max()
-                slack = 1e-6 * np.sqrt(scale) + 10.0**-DIGITS_KEPT
+                slack = 1e-6 * np.sqrt(scale) + rounding
                 reach = (far_off[:, :, None] + radii[None, :, :]).reshape(len(part), -1)
                 bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
                 lowest = np.maximum(far_off - far[None, :], near[None, :] - far_off)
@@ -224,8 +221,6 @@ def _plan_visits(test: DataFrame, cells: CellShapes) -> DataFrame:
                 ["test_id", "features", "cells"],
             )
 
-    SEARCH_STEP = SEARCH_BYTES // 8
-    DIGITS_KEPT = DIGITS
     return test.select(F.col("id").alias("test_id"), "features").mapInArrow(
         choose, "test_id bigint, features array<double>, cells array<int>"
     )
