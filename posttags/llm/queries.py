@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from posttags.llm import exact_dedup, packing, sharding, url_filter
+from posttags.llm import exact_dedup, minhash, packing, quality, sharding, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -31,20 +31,41 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 16)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    return packing.pack(docs, str(public_tokenizers.path(TOKENIZER)))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = str(public_tokenizers.path(TOKENIZER))
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer)
+    return packed(_table(spark, sf_dir, "documents"))
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def _remainder(parts: int, kept: int) -> Column:
+    """Whether crc32 of the doc_id as text has this remainder; false for a null doc_id."""
+    text = F.col("doc_id").cast("string").cast("binary")
+    return F.coalesce(F.crc32(text) % parts == kept, F.lit(False))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = quality.classify(docs, labels, _remainder(3, 1))
+    return found.select("doc_id", _remainder(3, 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
+    "op7_minhash": op7_minhash,
     "op8_url_filter": op8_url_filter,
+    "op9_quality": op9_quality,
 }
 
 ORACLE = {
