@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from posttags.llm import exact_dedup, minhash, packing, quality, sharding, url_filter
+from posttags.llm import exact_dedup, minhash, packing, quality, sharding, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -59,6 +59,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _remainder(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = toxicity.classify(docs, labels, _remainder(4, 2))
+    return found.select("doc_id", _remainder(4, 2).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_sharding": op5_sharding,
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minhash": op7_minhash,
     "op8_url_filter": op8_url_filter,
     "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
