@@ -23,7 +23,7 @@ from posttags.session import materialise
 
 WINDOW = 1024
 # Pieces per bundle: bounds the memory and time of a task, whatever the number of documents.
-BUNDLE = 4000
+BUNDLE = 1500
 # Words a worker remembers with their ids before it starts anew.
 REMEMBER = 1_200_000
 # Bytes of text handled at once; a longer text is handled alone.
