@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from posttags.llm import exact_dedup, minhash, packing, quality, sharding, suffix_dedup, toxicity, url_filter
+from posttags.llm import decontaminate, exact_dedup, minhash, packing, quality, sharding, suffix_dedup, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -27,6 +27,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate_once(_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
