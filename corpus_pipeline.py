@@ -4,14 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from posttags.llm import exact_dedup, queries as llm
+from posttags.llm import decontaminate, exact_dedup, minhash, quality, queries as llm
 from posttags.session import materialise
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not among those ``gone``; null doc_ids stay."""
+    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the quality classifier rejects."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, quality.fit(docs, labels, llm.remainder(3, 1)))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of equal texts."""
-    kept = exact_dedup.deduplicate_once(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return _without(docs, exact_dedup.deduplicate_once(docs).where("not kept"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates."""
+    return _without(docs, minhash.near_duplicates(docs).where("not kept"))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that leak a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontaminate.leaks(docs, benchmark))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +40,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return llm.packed(docs)
 
 
-STAGES = [("exact dedup", exact), ("packing", packed)]
+STAGES = [
+    ("quality", good),
+    ("exact dedup", exact),
+    ("near dedup", near),
+    ("decontamination", clean),
+    ("packing", packed),
+]
+# Neighbour votes, alignments and tokens have no SQL; the tests redo the stages by brute force.
 ORACLE_SQL = None
 
 

@@ -192,6 +192,18 @@ def scored(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
     return rows.mapInArrow(score, "doc_id long, score double, predicted int")
 
 
+def keep_good(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score at least ``cut``."""
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [text or "" for text in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array(model.score(texts) >= cut, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column, cut: float = 0.5) -> DataFrame:
     """Score every row of ``docs``: ``doc_id, score, predicted``.
 

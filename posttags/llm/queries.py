@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from posttags.llm import decontaminate, exact_dedup, minhash, packing, quality, sharding, suffix_dedup, toxicity, url_filter
+from posttags.llm import (
+    decontaminate,
+    exact_dedup,
+    minhash,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -27,6 +38,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate_once(_table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -55,7 +70,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
-def _remainder(parts: int, kept: int) -> Column:
+def remainder(parts: int, kept: int) -> Column:
     """Whether crc32 of the doc_id as text has this remainder; false for a null doc_id."""
     text = F.col("doc_id").cast("string").cast("binary")
     return F.coalesce(F.crc32(text) % parts == kept, F.lit(False))
@@ -63,18 +78,19 @@ def _remainder(parts: int, kept: int) -> Column:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    found = quality.classify(docs, labels, _remainder(3, 1))
-    return found.select("doc_id", _remainder(3, 1).alias("held_out"), "score", "predicted")
+    found = quality.classify(docs, labels, remainder(3, 1))
+    return found.select("doc_id", remainder(3, 1).alias("held_out"), "score", "predicted")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    found = toxicity.classify(docs, labels, _remainder(4, 2))
-    return found.select("doc_id", _remainder(4, 2).alias("held_out"), "score", "predicted")
+    found = toxicity.classify(docs, labels, remainder(4, 2))
+    return found.select("doc_id", remainder(4, 2).alias("held_out"), "score", "predicted")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secrets": op2_secrets,
     "op3_decontamination": op3_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
