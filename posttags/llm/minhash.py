@@ -110,13 +110,13 @@ def band_keys(signature: Column) -> Column:
     return F.array(*parts)
 
 
-def cross_pairs(members: DataFrame, tile: int = TILE) -> DataFrame:
-    """Promising pairs between members of different components within a bucket.
+def cross_pairs(members: DataFrame, best: bool, tile: int = TILE) -> DataFrame:
+    """Promising pairs between members of different components within a bucket, as ``a, b``.
 
     ``members`` has ``key, doc_id, component, n_shingles, signature``. A bucket is dealt into
     tiles, each pair of tiles is one task's work, and only pairs whose signatures agree on
-    PROMISING of the coordinates come out, so neither memory nor output follows the square
-    of a bucket.
+    PROMISING of the coordinates come out; with ``best`` only the most promising partner of
+    each member, so that the pairs are no more than the members.
     """
     tiles = members.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     mine = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
@@ -132,25 +132,47 @@ def cross_pairs(members: DataFrame, tile: int = TILE) -> DataFrame:
     def compare(group: pa.Table) -> pa.Table:
         ids = group.column("doc_id").to_numpy()
         parts, sizes = group.column("component").to_numpy(), group.column("n_shingles").to_numpy()
-        first = group.column("mine").to_numpy() == group.column("low")[0].as_py()
-        same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
         rows = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32)
         rows = rows.reshape(len(ids), -1)
-        left = np.flatnonzero(first)
-        right = left if same else np.flatnonzero(~first)
-        a, b = [], []
-        for i in left:
-            near = right[(parts[right] != parts[i]) & (ids[right] > ids[i] if same else True)]
-            near = near[100 * np.minimum(sizes[near], sizes[i]) >= SIMILAR * np.maximum(sizes[near], sizes[i])]
-            near = near[(rows[near] == rows[i]).mean(axis=1) >= PROMISING] if len(near) else near
-            a.append(np.full(len(near), ids[i]))
-            b.append(ids[near])
-        a = np.concatenate(a) if a else np.empty(0, np.int64)
-        b = np.concatenate(b) if b else np.empty(0, np.int64)
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
-
-    pairs = dealt.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long")
-    return pairs.distinct()
+        first = group.column("mine").to_numpy() == group.column("low")[0].as_py()
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        found = []
+        for i in range(len(ids)):
+            near = right if first[i] and len(right) else left
+            near = near[parts[near] != parts[i]]
+            small, large = np.minimum(sizes[near], sizes[i]), np.maximum(sizes[near], sizes[i])
+            near = near[100 * small >= SIMILAR * large]
+            equal = (rows[near] == rows[i]).sum(axis=1)
+            hit = equal >= PROMISING * rows.shape[1]
+            near, equal = near[hit], equal[hit]
+            if best and len(near):
+                top = np.lexsort((ids[near], -equal))[:1]
+                near, equal = near[top], equal[top]
+            found.append((np.full(len(near), ids[i]), ids[near], equal))
+        columns = [np.concatenate(c) for c in zip(*found)]
+        return pa.table(dict(zip(["one", "other", "equal"], map(pa.array, columns))))
+
+    pairs = dealt.groupBy("key", "low", "high").applyInArrow(compare, "one long, other long, equal long")
+    if best:
+        top = F.max(F.struct("equal", (-F.col("other")).alias("minus"))).alias("top")
+        pairs = pairs.groupBy("one").agg(top).select("one", (-F.col("top.minus")).alias("other"))
+    return pairs.select(F.greatest("one", "other").alias("a"), F.least("one", "other").alias("b")).distinct()
+
+
+def _still_apart(stars: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """The members, with their signatures, of buckets that hold several components."""
+    labelled = stars.join(found.withColumnRenamed("node", "member"), "member", "left")
+    labelled = labelled.select("key", "member", F.coalesce("component", "member").alias("component"))
+    labelled = materialise(labelled, "band-components")
+    apart = (
+        labelled.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low != high")
+        .select("key")
+    )
+    signed = classes.select(F.col("rep").alias("member"), "n_shingles", "signature")
+    members = labelled.join(apart, "key").join(signed, "member").withColumnRenamed("member", "doc_id")
+    return materialise(members, "apart")
 
 
 def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -> DataFrame:
@@ -158,8 +180,9 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -
 
     Returns one row per input row: ``doc_id, n_shingles, component_id, kept``. Equal sets are
     one class and are compared once. In every bucket of a band each member meets the bucket's
-    least doc_id first; buckets whose members are then still in several components compare
-    members of different components with each other. Links hold on whole sets only.
+    least doc_id first. While a bucket's members are in several components, each meets its
+    most promising partner in another one; once that joins none any more, all promising pairs
+    across components are compared. Links hold on whole sets only.
 
     Words are cut at ASCII white space, A-Z lower-cased. A null or empty text, or one without
     words, has no shingles and is linked with nothing; so is a row without doc_id, whose
@@ -195,25 +218,17 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -
     whole = whole.join(shared, "doc_id", "left_semi")
     sets = materialise(shingle_sets(whole), "shingle-sets")
     links = materialise(verified(first, sets, similar), "verified")
-    found = components(links)
-    labelled = (
-        stars.join(found.withColumnRenamed("node", "member"), "member", "left")
-        .select("key", "member", F.coalesce("component", "member").alias("component"))
-    )
-    labelled = materialise(labelled, "band-components")
-    apart = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low != high")
-        .select("key")
-    )
-    members = labelled.join(apart, "key").join(
-        classes.select(F.col("rep").alias("member"), "n_shingles", "signature"), "member"
-    )
-    members = members.withColumnRenamed("member", "doc_id")
-    pairs = cross_pairs(materialise(members, "apart"), tile).join(first, ["a", "b"], "left_anti")
-    more = materialise(verified(materialise(pairs, "cross-pairs"), sets, similar), "verified")
-    found = components(links.unionByName(more)).withColumnRenamed("node", "rep")
+    tested, best = first, True
+    while True:
+        members = _still_apart(stars, classes, components(links))
+        pairs = cross_pairs(members, best, tile).join(tested, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "cross-pairs")
+        more = materialise(verified(pairs, sets, similar), "verified")
+        tested, links, joined = tested.unionByName(pairs), links.unionByName(more), not more.isEmpty()
+        if not best:
+            break
+        best = joined  # the last round compares every promising pair that is left
+    found = components(links).withColumnRenamed("node", "rep")
     judged = materialise(
         classes.select("set_id", "rep", "size")
         .join(found, "rep", "left")
