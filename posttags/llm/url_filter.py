@@ -1,7 +1,7 @@
 """Accept or reject URLs by rules, and by two character Markov models where no rule fits.
 
-The models are trained on the URLs that rules accept and reject. Characters fold into 32
-symbols, so a model over contexts of up to three symbols has at most 32**4 entries however
+The models are trained on the URLs that rules accept and reject. Characters fold into 33
+symbols, so a model over contexts of up to three symbols has at most 33**4 entries however
 many URLs there are; that bound makes the model safe to broadcast.
 """
 
@@ -18,7 +18,7 @@ from posttags.session import materialise
 # One symbol each: start, letters, digit, slash, dot, dash; "?" stands for the marks of a
 # query and "~" for everything else.
 SYMBOLS = "^abcdefghijklmnopqrstuvwxyz0/.-?~"
-BASE = 32
+BASE = len(SYMBOLS)
 ORDER = 3
 # Weight of the shorter context against the counts of the longer one.
 BACKOFF = 4.0
@@ -69,7 +69,7 @@ def rule_of(rules: list[Rule]) -> tuple[Column, Column]:
 
 
 def gram_codes(url: Column) -> Column:
-    """Each symbol of a URL with the three before it, as numbers of base 32; null if none."""
+    """Each symbol of a URL with the three before it, as numbers of base 33; null if none."""
     low = F.regexp_replace(lower_ascii(F.coalesce(url, F.lit(""))), "^[a-z]*://", "")
     folded = F.regexp_replace(low, r"[^a-z0-9/.\-?=&_#]", "~")
     folded = F.translate(folded, "123456789=&_#", "000000000????")

@@ -53,7 +53,7 @@ def model(urls):
                 counts[text[at - size : at]] += 1
 
     def chance(context, symbol):
-        p = 1 / 32
+        p = 1 / 33
         for size in range(4):
             c = context[len(context) - size :]
             p = (counts[c, symbol] + 4 * p) / (counts[c] + 4)
