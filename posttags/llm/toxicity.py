@@ -59,7 +59,8 @@ class Voters:
     """Firing words and word beginnings, after the four patterns."""
 
     lexicon: list[str]
-    _known: dict[str, tuple[int, list[int]]] = field(default_factory=dict, repr=False)
+    _votes: dict[str, int] = field(default_factory=dict, repr=False)
+    _hashed: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.bit = {word: 1 << (PATTERNS + i) for i, word in enumerate(self.lexicon)}
@@ -68,35 +69,49 @@ class Voters:
         return PATTERNS + len(self.lexicon)
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "bit": self.bit, "_known": {}}
-
-    def token(self, token: str) -> tuple[int, list[int]]:
-        """The votes a token casts, and the hashed features of the linear classifier."""
-        found = self._known.get(token)
-        if found is None:
-            if len(self._known) >= REMEMBER:
-                self._known.clear()
-            names, votes = features_of(token), 0
-            for name in names:
-                votes |= self.bit.get(name, 0)
-            hashed = [xxhash.xxh32_intdigest(name) % BUCKETS for name in names]
-            found = self._known[token] = votes, hashed
+        return {"lexicon": self.lexicon, "bit": self.bit, "_votes": {}, "_hashed": {}}
+
+    def _token_votes(self, token: str) -> int:
+        """The votes a token casts, and SHOUTING if it is in upper case."""
+        if len(self._votes) >= REMEMBER:
+            self._votes.clear()
+        votes = 0
+        for name in features_of(token.lower()):
+            votes |= self.bit.get(name, 0)
+        votes = self._votes[token] = votes | token.isupper() << SHOUTING
+        return votes
+
+    def _token_features(self, token: str) -> list[int]:
+        if len(self._hashed) >= REMEMBER:
+            self._hashed.clear()
+        names = features_of(token.lower())
+        found = self._hashed[token] = [xxhash.xxh32_intdigest(name) % BUCKETS for name in names]
         return found
 
-    def read(self, text: str) -> tuple[int, np.ndarray]:
-        """The votes on a whole text as bits, and its distinct features."""
-        tokens = text.lower().split()
-        votes, hits, hashed = 0, 0, []
-        for token in set(tokens):
-            cast, names = self.token(token)
-            votes |= cast
-            hits += cast != 0
-            hashed += names
+    def votes(self, text: str) -> int:
+        """The votes on a whole text as bits; patterns count distinct tokens."""
+        tokens = set(text.split())
+        votes, hits, upper = 0, 0, 0
+        for token in tokens:
+            cast = self._votes.get(token)
+            if cast is None:
+                cast = self._token_votes(token)
+            if cast:
+                votes |= cast
+                hits += cast >> PATTERNS != 0
+                upper += cast >> SHOUTING & 1
+        votes &= ~(1 << SHOUTING)
         votes |= (hits == 0) << NONE | (hits >= 2) << SEVERAL
         votes |= (hits * 50 >= max(1, len(tokens))) << DENSE
-        upper = sum(map(str.isupper, text.split()))
-        votes |= (2 * upper > len(tokens) > 0) << SHOUTING
-        return votes, np.unique(np.array(hashed, np.int32))
+        return votes | (2 * upper > len(tokens)) << SHOUTING
+
+    def features(self, text: str) -> np.ndarray:
+        """The distinct features of a whole text."""
+        hashed: set[int] = set()
+        for token in set(text.split()):
+            found = self._hashed.get(token)
+            hashed.update(self._token_features(token) if found is None else found)
+        return np.fromiter(hashed, np.int32, len(hashed))
 
 
 def mine(sample: DataFrame, most: int = MINED) -> tuple[list[str], float]:
@@ -240,7 +255,7 @@ class Linear:
 
     def score(self, votes: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
         logit = self.bias + unpacked(votes, len(self.votes)) @ self.votes
-        logit = logit + np.array([self.weights[f].sum() for f in features])
+        logit = logit + np.array([self.weights[f].sum(dtype=float) for f in features])
         return np.round(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 6)
 
 
@@ -282,7 +297,7 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, cut: float =
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [voters.read(text)[0] for text in batch.column(1).to_pylist()]
+            found = [voters.votes(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.int64())], ["doc_id", "votes"]
             )
@@ -294,9 +309,9 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, cut: float =
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [voters.read(text) for text in batch.column(1).to_pylist()]
-            votes = np.array([f[0] for f in found], np.int64)
-            scores = linear.score(votes, [f[1] for f in found])
+            texts = batch.column(1).to_pylist()
+            votes = np.array([voters.votes(text) for text in texts], np.int64)
+            scores = linear.score(votes, [voters.features(text) for text in texts])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array((scores >= cut).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
@@ -326,7 +341,7 @@ def _train_on_posteriors(
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [voters.read(text)[1].tobytes() for text in batch.column(1).to_pylist()]
+            found = [np.sort(voters.features(text)).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.select(["doc_id", "votes", "toxic", "weight"]).columns, pa.array(found, pa.binary())],
                 ["doc_id", "votes", "toxic", "weight", "features"],
