@@ -15,10 +15,6 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, value: acc + value)
 
 
-def euclidean(left: Column, right: Column) -> Column:
-    return F.sqrt(total(F.zip_with(left, right, lambda x, y: (x - y) * (x - y))))
-
-
 def normal_log_score(point: Column, mean: Column, variance: Column) -> Column:
     """Sum over dimensions of the log normal density.
 

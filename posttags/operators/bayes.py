@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from posttags.functions import vectors as vx
 from posttags.functions.rows import unfold, unfold_numbered
+from posttags.session import materialise
 
 TAGS_PER_PASS = 500  # tags whose parameters one scoring pass carries
-# Below this share of the corpus spread, a difference of sums counts as "no spread".
-NO_SPREAD = 1e-12
+# A difference of sums below this share of the corpus spread has lost too many digits: the
+# negatives of such a tag are summed directly.
+SWAMPED = 1e-6
 
 
 def class_stats(judged: DataFrame) -> DataFrame:
@@ -60,6 +62,8 @@ def decide(point: Column, model: Column) -> Column:
     in some dimension gives NULL and so false; an empty class loses to the other one.
     """
     n = model["n_pos"] + model["n_neg"]
+    fits = F.size(point) == F.size(F.coalesce(model["pos_mean"], model["neg_mean"]))
+    point = F.when(fits, point).otherwise(F.raise_error(F.lit("point and model differ in size")))
     positive = vx.normal_log_score(point, model["pos_mean"], model["pos_var"]) + F.log(
         F.when(model["n_pos"] > 0, model["n_pos"] / n)
     )
@@ -83,7 +87,8 @@ def fit_tags(vectors: DataFrame, tagged: DataFrame, id_col: str) -> DataFrame:
     """One model row per tag; ``tagged`` holds distinct ``(id, tag)`` rows.
 
     The positives of all tags come from one aggregation. The negatives of a tag are the
-    corpus less its positives, so no post is counted once per tag it lacks.
+    corpus less its positives, so no post is counted once per tag it lacks; only tags whose
+    negatives are so tight that the difference loses its digits sum them directly.
     """
     everything = (
         vectors.agg(_summary(F.col("features")).alias("s"))
@@ -115,23 +120,41 @@ def fit_tags(vectors: DataFrame, tagged: DataFrame, id_col: str) -> DataFrame:
         ),
     )
 
-    def negative_variance(s: Column) -> Column:
+    def left(s: Column) -> Column:
         gap = (s["pm"] - s["mean"]) * (s["pm"] - s["mean"]) * n_pos * n_neg / n_all
-        left = s["spread"] - s["pos_spread"] - gap
-        return F.when(n_neg > 1, F.when(left > NO_SPREAD * s["spread"], left / (n_neg - 1)).otherwise(0.0))
+        return s["spread"] - s["pos_spread"] - gap
+
+    derived = positives.withColumn("_neg", parts).select(
+        "tag",
+        n_pos.alias("n_pos"),
+        n_neg.alias("n_neg"),
+        F.col("mean").alias("pos_mean"),
+        F.col("variance").alias("pos_var"),
+        F.transform("_neg", lambda s: s["mean"]).alias("neg_mean"),
+        F.transform("_neg", lambda s: F.when(n_neg > 1, left(s) / (n_neg - 1))).alias("neg_var"),
+        F.exists("_neg", lambda s: (n_neg > 0) & (left(s) <= SWAMPED * s["spread"])).alias("swamped"),
+    )
+    derived = materialise(derived, "tag-models")
+    direct = _direct_negatives(vectors, tagged, derived.where("swamped"), id_col)
+    return derived.join(direct, "tag", "left").select(
+        "tag", "n_pos", "n_neg", "pos_mean", "pos_var",
+        F.coalesce("direct_mean", "neg_mean").alias("neg_mean"),
+        F.coalesce("direct_var", "neg_var").alias("neg_var"),
+    )
+
 
+def _direct_negatives(
+    vectors: DataFrame, tagged: DataFrame, models: DataFrame, id_col: str
+) -> DataFrame:
+    """``tag, direct_mean, direct_var`` summed over the posts that lack the tag."""
+    tags = models.agg(F.collect_list("tag")).scalar()
+    rows = vectors.withColumn("tag", F.explode(tags))
     return (
-        positives.withColumn("_neg", parts)
-        .withColumn("neg_var", F.transform("_neg", negative_variance))
-        .select(
-            "tag",
-            n_pos.alias("n_pos"),
-            n_neg.alias("n_neg"),
-            F.col("mean").alias("pos_mean"),
-            F.col("variance").alias("pos_var"),
-            F.transform("_neg", lambda s: s["mean"]).alias("neg_mean"),
-            "neg_var",
-        )
+        rows.join(tagged, [id_col, "tag"], "left_anti")
+        .groupBy("tag")
+        .agg(_summary(F.col("features")).alias("s"))
+        .select("tag", *_summary_columns())
+        .select("tag", F.col("mean").alias("direct_mean"), F.col("variance").alias("direct_var"))
     )
 
 
@@ -141,8 +164,10 @@ def predict_tags(
     """``id, tag`` for every tag decided true.
 
     One map over the posts scores up to about ``tags_per_pass`` tags, whose parameters
-    travel as one scalar; more tags take further passes, so the size carried is bounded.
+    travel as one scalar; more tags take further passes over the stored models, so the size
+    carried is bounded and nothing is fitted twice.
     """
+    models = materialise(models, "models")
     passes = max(1, math.ceil(models.count() / tags_per_pass))
     found = None
     for number in range(passes):

@@ -7,9 +7,10 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from posttags.functions import text as tx
-from posttags.skew import with_position
+from posttags.session import materialise
+from posttags.skew import lookup, with_position
 
-LIST_ROWS = 10_000  # longest id list posting_lists() builds
+LIST_ROWS = 10_000  # ids in a list of posting_lists()
 
 
 def tag_rows(posts: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -41,33 +42,28 @@ def posts_with_tag(posts: DataFrame, tag: str) -> DataFrame:
 
 
 def posts_without_tag(posts: DataFrame, tag: str) -> DataFrame:
-    """Posts whose id is not among those carrying the tag, untagged posts included."""
-    return posts.join(posts_with_tag(posts, tag).select("doc_id"), "doc_id", "left_anti")
+    """Posts that do not carry the tag, untagged posts included."""
+    return posts.where(~F.coalesce(F.array_contains("tags", tag), F.lit(False)))
 
 
 def with_primary_tag(posts: DataFrame) -> DataFrame:
     return posts.withColumn("primary_tag", tx.primary_tag(F.col("tags")))
 
 
-def posting_sizes(tagged: DataFrame) -> DataFrame:
-    return tagged.groupBy("tag").agg(F.count("*").alias("n"))
-
-
 def posting_lists(tagged: DataFrame, id_col: str, list_rows: int = LIST_ROWS) -> DataFrame:
-    """``tag, part, ids``: the ids of each tag, a frequent tag spread over several lists.
+    """``tag, part, ids``: the ids of each tag in order, ``list_rows`` to a list.
 
-    Every id is kept; lists hold about ``list_rows`` ids, so no task gathers a whole tag.
+    A frequent tag has several lists, numbered from 0, so no task gathers a whole tag. Rows
+    are numbered by a distributed sort; the place of a row among its tag's says its list.
     """
-    parts = F.ceil(F.col("n") / list_rows)
-    sized = tagged.join(F.broadcast(_big_tags(tagged, list_rows)), "tag", "left")
-    part = F.coalesce(F.pmod(F.xxhash64(id_col), parts), F.lit(0))
+    placed = with_position(tagged.select("tag", id_col), F.col("tag"), F.col(id_col), name="place")
+    placed = materialise(placed, "postings")
+    first = placed.groupBy("tag").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    first = materialise(first, "posting-sizes")
+    found = lookup(placed, first.select("tag", "first"), "tag", first.select("tag", "n"))
+    part = F.floor((F.col("place") - F.col("first")) / list_rows).cast("bigint")
     return (
-        sized.select("tag", part.alias("part"), id_col)
+        found.select("tag", part.alias("part"), id_col)
         .groupBy("tag", "part")
         .agg(F.array_sort(F.collect_list(id_col)).alias("ids"))
     )
-
-
-def _big_tags(tagged: DataFrame, list_rows: int) -> DataFrame:
-    # At most rows / list_rows tags are this frequent.
-    return posting_sizes(tagged).where(F.col("n") > list_rows)

@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from posttags.functions.text import ENGLISH_STOPWORDS
-from posttags.plans.queries import K, MIN_COSINE, NB_TAG, TEXT_TAG, TOP_PERCENT, TOP_TERMS
+from posttags.plans.queries import (
+    K,
+    LIST_ROWS,
+    MIN_COSINE,
+    NB_TAG,
+    TEXT_DIMS,
+    TEXT_TAG,
+    TOP_PERCENT,
+    TOP_TERMS,
+)
 
 _STOP = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH_STOPWORDS)
 
@@ -51,8 +62,8 @@ CTES = {
                count(*) AS cnt
         FROM words GROUP BY ALL""",
     "bucket_idf": """
-        SELECT bucket, ln((n + 1.0) / (count(*) + 1.0)) AS idf
-        FROM buckets, n GROUP BY bucket, n HAVING count(*) >= 2""",
+        SELECT bucket, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf
+        FROM buckets GROUP BY bucket HAVING count(*) >= 2""",
     "totals": "SELECT term, cf, df, idf, cf * idf AS total FROM idf_s",
     "top": f"""
         SELECT term, idf, total, rank FROM (
@@ -74,8 +85,8 @@ CTES = {
                weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS u
         FROM w_r""",
     "cells": """
-        SELECT a.doc_id AS id0, b.doc_id AS id1
-        FROM documents a JOIN documents b ON b.doc_id = a.doc_id - 1""",
+        SELECT * FROM (SELECT doc_id AS id0, lag(doc_id) OVER (ORDER BY doc_id) AS id1 FROM documents)
+        WHERE id1 IS NOT NULL""",
     "slots": """
         SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS idx,
                CAST(unnest(embedding) AS DOUBLE) AS value
@@ -165,15 +176,15 @@ def _bayes(fitted: str = "TRUE", tested: str = "TRUE") -> dict[str, str]:
                    var_samp(value) AS variance
             FROM judged JOIN slots USING (id) WHERE {fitted} GROUP BY tag, label, idx""",
         "scores": f"""
-            SELECT s.id, t.tag, t.is_pos, ln(any_value(p.prior)) +
-                   sum(-0.5 * ln(2 * pi() * variance)
-                       - (value - mean) * (value - mean) / (2 * variance)) AS score
+            SELECT s.id, t.tag, t.is_pos, CASE WHEN min(variance) > 0 THEN ln(any_value(p.prior)) +
+                   sum(-0.5 * ln(2 * pi() * nullif(variance, 0))
+                       - (value - mean) * (value - mean) / (2 * nullif(variance, 0))) END AS score
             FROM slots s JOIN stats t ON s.idx = t.dim
             JOIN priors p ON p.tag = t.tag AND p.is_pos = t.is_pos
             WHERE {tested.replace("id", "s.id") if tested != "TRUE" else tested}
             GROUP BY s.id, t.tag, t.is_pos""",
         "decided": """
-            SELECT j.id, j.tag, j.label, a.score > b.score AS prediction
+            SELECT j.id, j.tag, j.label, coalesce(a.score > b.score, FALSE) AS prediction
             FROM judged j
             JOIN scores a ON a.id = j.id AND a.tag = j.tag AND a.is_pos
             JOIN scores b ON b.id = j.id AND b.tag = j.tag AND NOT b.is_pos""",
@@ -237,20 +248,27 @@ def oracle() -> dict[str, str]:
         "idf_ratio": _sql("SELECT term, df, round(idf, 6) AS idf FROM idf_r", *_COUNTS, "dfs", "n", "idf_r"),
         "idf_smooth": _sql("SELECT term, df, round(idf, 6) AS idf FROM idf_s", *_SMOOTH),
         "tfidf_ratio": _sql("SELECT doc_id, term, round(weight, 6) AS weight FROM w_r", *_RATIO),
+        "tfidf_ratio_hot": _sql("SELECT doc_id, term, round(weight, 6) AS weight FROM w_r", *_RATIO),
         "tfidf_smooth": _sql("SELECT doc_id, term, round(weight, 6) AS weight FROM w_s", *_SMOOTH, "w_s"),
         "tf_hashed": _sql("SELECT doc_id, bucket, cnt FROM buckets", *_WORDS, "buckets"),
         "tfidf_hashed": _sql(
             """SELECT doc_id, b.bucket, round(cnt * idf, 6) AS weight
                FROM buckets b JOIN bucket_idf i ON b.bucket = i.bucket WHERE idf <> 0""",
-            *_WORDS, "n", "buckets", "bucket_idf"),
+            *_WORDS, "buckets", "bucket_idf"),
         "term_totals": _sql("SELECT term, cf, df, round(total, 6) AS total FROM totals", *_SMOOTH, "totals"),
         "top_terms": _sql("SELECT term, round(total, 6) AS total, rank FROM top", *_TOP),
         "top_terms_collapsed": _sql(
             f"""SELECT term, round(total, 6) AS total, rank FROM (
                 SELECT *, CAST(row_number() OVER (ORDER BY round(total, 9) DESC, term) - 1 AS INTEGER) AS rank
                 FROM (SELECT min(term) AS term, any_value(total) AS total FROM totals
-                      WHERE total <> 0 GROUP BY cf, df)) WHERE rank < {TOP_TERMS}""",
+                      WHERE total <> 0 GROUP BY round(total, 9))) WHERE rank < {TOP_TERMS}""",
             *_SMOOTH, "totals"),
+        "top_terms_collapsed_ratio": _sql(
+            f"""SELECT term, round(total, 6) AS total, rank FROM (
+                SELECT *, CAST(row_number() OVER (ORDER BY round(total, 9) DESC, term) - 1 AS INTEGER) AS rank
+                FROM (SELECT min(term) AS term, any_value(total) AS total
+                      FROM (SELECT term, sum(weight) AS total FROM w_r GROUP BY term)
+                      GROUP BY round(total, 9))) WHERE rank < {TOP_TERMS}""", *_RATIO),
         "vocab_vectors": _sql(
             """SELECT doc_id, term_id, round(weight, 6) AS weight FROM w_r JOIN (
                SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM dfs) v
@@ -266,6 +284,11 @@ def oracle() -> dict[str, str]:
         "pca_covariance": _sql(
             """SELECT a.idx AS i, b.idx AS j, round(covar_samp(a.value, b.value), 6) AS cov
                FROM slots a JOIN slots b ON a.id = b.id AND a.idx <= b.idx GROUP BY a.idx, b.idx""", "slots"),
+        "pca_axes": _sql(
+            """SELECT a.idx AS i, b.idx AS j, CASE WHEN a.idx = b.idx THEN 1.0 ELSE 0.0 END::DOUBLE AS dot,
+               CASE WHEN a.idx <> b.idx THEN 0.0::DOUBLE END AS off, total, TRUE AS falling
+               FROM (SELECT DISTINCT idx FROM slots) a JOIN (SELECT DISTINCT idx FROM slots) b ON a.idx <= b.idx,
+               (SELECT round(sum(v), 5) AS total FROM (SELECT var_samp(value) AS v FROM slots GROUP BY idx))""", "slots"),
         "common_tokens": _sql(
             """SELECT id0, id1, a.term AS token, a.cnt AS repeats FROM cells
                JOIN counts a ON a.doc_id = id0 JOIN counts b ON b.doc_id = id1 AND a.term = b.term""",
@@ -277,6 +300,8 @@ def oracle() -> dict[str, str]:
         "post_copies": _sql(
             "SELECT doc_id, rep_id FROM bag_of JOIN bags ON bag_of.bag = bags.bag", *_WORDS, "bag_of", "bags"),
         "cosine_pairs": _sql(_pairs("a.u * b.u", "a.doc_id >= b.doc_id"), *_RATIO, "bag_of", "bags", "unit"),
+        "cosine_pairs_grid": _sql(
+            _pairs("a.u * b.u", "a.doc_id >= b.doc_id"), *_RATIO, "bag_of", "bags", "unit"),
         "cosine_pairs_repeat": _sql(
             _pairs("a.cnt * a.u * b.u", "a.last_id >= b.doc_id"), *_RATIO, "bag_of", "bags", "unit"),
         "tag_counts": _sql("SELECT tag, count(*) AS n FROM post_tags GROUP BY tag", "posts", "post_tags"),
@@ -293,7 +318,10 @@ def oracle() -> dict[str, str]:
         "train_test_split": f"SELECT doc_id, {_split('doc_id')} AS is_train FROM documents",
         "train_semi": _sql(f"SELECT tag, doc_id FROM post_tags WHERE {_split('doc_id')}", "posts", "post_tags"),
         "tag_posting_lists": _sql(
-            "SELECT tag, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS id_sum FROM post_tags GROUP BY tag", "posts", "post_tags"),
+            f"""SELECT tag, part, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM (
+                SELECT *, (row_number() OVER (PARTITION BY tag ORDER BY doc_id) - 1) // {LIST_ROWS} AS part
+                FROM post_tags) GROUP BY tag, part""", "posts", "post_tags"),
+        "knn_neighbors_cells": _sql(_NEAR, "points", extra=_knn("points")),
         "knn_neighbors": _sql(_NEAR, "points", extra=_knn("points")),
         "knn_predict_all": _sql("SELECT test_id, tag FROM predicted", "points", extra=_knn("points")),
         "knn_predict_first": _sql(
@@ -307,6 +335,8 @@ def oracle() -> dict[str, str]:
             "points", extra=_knn("points")),
         "tag_confusion": _sql("SELECT * FROM confusion", "points", extra=_knn("points")),
         "tag_metrics": _sql(_METRICS, "points", extra=_knn("points")),
+        "tag_metrics_all": _sql(_METRICS, "points", extra={
+            **_knn("points"), "confusion": _CONFUSION.format(keep="")}),
         "knn_hit_rate": _sql(
             """SELECT count(*) AS n_tested, CAST(sum(hit) AS BIGINT) AS hits, round(avg(hit), 6) AS hit_rate FROM (
                SELECT a.test_id, max(CASE WHEN p.tag IS NULL THEN 0 ELSE 1 END) AS hit
@@ -329,6 +359,16 @@ def oracle() -> dict[str, str]:
             f"""SELECT label, CAST(sum(CASE WHEN prediction THEN 0 ELSE 1 END) AS BIGINT) AS predicted_false,
                 CAST(sum(CASE WHEN prediction THEN 1 ELSE 0 END) AS BIGINT) AS predicted_true
                 FROM decided WHERE {_NB_ONE} GROUP BY label""", "points", "slots", extra=_bayes()),
+        "nb_documents": _sql(
+            f"""SELECT label, CAST(sum(CASE WHEN prediction THEN 0 ELSE 1 END) AS BIGINT) AS predicted_false,
+                CAST(sum(CASE WHEN prediction THEN 1 ELSE 0 END) AS BIGINT) AS predicted_true
+                FROM decided WHERE tag = '{TEXT_TAG}' GROUP BY label""", *_TEXT, extra={
+                "nb_points": f"""SELECT id, features[1:{TEXT_DIMS}] AS features, tags FROM text_points""",
+                "nb_slots": """SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS idx,
+                               unnest(features) AS value FROM nb_points""",
+                **{name: re.sub(r"\b(points|slots)\b", r"nb_\1", sql) for name, sql in _bayes().items()}}),
+        "nb_predict_all_tags_passes": _sql(
+            "SELECT id, tag FROM decided WHERE prediction", "points", "slots", extra=_bayes()),
         "nb_predict_all_tags": _sql(
             "SELECT id, tag FROM decided WHERE prediction", "points", "slots", extra=_bayes()),
         "nb_top_tag_metrics": _sql(_METRICS, "points", "slots", extra={

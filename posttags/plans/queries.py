@@ -24,6 +24,7 @@ from posttags.operators import (
 )
 from posttags.plans import jobs
 from posttags.session import materialise, stage_path
+from posttags.skew import with_position
 from posttags.sources import posts as src
 
 K = 10
@@ -32,6 +33,8 @@ MIN_COSINE = 0.3
 NB_TAG = "even"
 TEXT_TAG = "quality"
 TOP_PERCENT = 25
+LIST_ROWS = 40
+TEXT_DIMS = 6
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +42,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    if len(docs.inputFiles()) == 1:  # one file of one row group would tokenise in one task
-        docs = docs.repartition(spark.sparkContext.defaultParallelism, "doc_id")
-    return docs
+    return _table(spark, sf_dir, "documents")
 
 
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,11 +75,7 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _text_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, features, tags`` of the documents over their strongest terms."""
-    docs = _documents(spark, sf_dir)
-    reduced = select.dense_arrays(jobs.reduce_posts(docs, TOP_TERMS))
-    tags = _posts(spark, sf_dir).select("doc_id", "tags")
-    points = reduced.join(tags, "doc_id").select(F.col("doc_id").alias("id"), "features", "tags")
-    return materialise(points, "text-points")
+    return jobs.points_of(_posts(spark, sf_dir), TOP_TERMS)
 
 
 def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -155,6 +151,12 @@ def tfidf_ratio(spark, sf_dir):
     return _rounded(weights.select("doc_id", "term", "weight"), "weight")
 
 
+def tfidf_ratio_hot(spark, sf_dir):
+    """As ``tfidf_ratio``, with every term of 50 posts or more taking the hot-key path."""
+    weights = jobs.tfidf_of(_documents(spark, sf_dir), wt.RATIO, hot_rows=50)
+    return _rounded(weights.select("doc_id", "term", "weight"), "weight")
+
+
 def tfidf_smooth(spark, sf_dir):
     weights = jobs.tfidf_of(_documents(spark, sf_dir), wt.SMOOTH)
     return _rounded(weights.select("doc_id", "term", "weight"), "weight")
@@ -186,6 +188,11 @@ def top_terms_collapsed(spark, sf_dir):
     return _rounded(top.select("term", "total", "rank"), "total")
 
 
+def top_terms_collapsed_ratio(spark, sf_dir):
+    top = jobs.strongest_terms(_documents(spark, sf_dir), TOP_TERMS, wt.RATIO, collapse_ties=True)
+    return _rounded(top.select("term", "total", "rank"), "total")
+
+
 # --- vectors -------------------------------------------------------------------------
 
 
@@ -253,6 +260,37 @@ def pca_transform(spark, sf_dir):
     return _rounded(rows.withColumn("value", F.abs("value")), "value")
 
 
+def pca_axes(spark, sf_dir):
+    """What makes axes principal: unit length, right angles, no covariance, all variance.
+
+    Over all axes of the embeddings; ``falling`` says that no axis has more variance than the
+    one before it.
+    """
+    vectors = vec.as_ml_vectors(_points(spark, sf_dir), "id", F.col("features"))
+    width = len(vectors.first()["features"])
+    model, projected = jobs.pca_of(vectors, "id", width)
+    axes = model.pc.toArray().T.tolist()
+    rows = spark.createDataFrame([(i, axis) for i, axis in enumerate(axes)], "i int, axis array<double>")
+    other = rows.select(F.col("i").alias("j"), F.col("axis").alias("other"))
+    dots = rows.join(other, F.col("i") <= F.col("j")).select(
+        "i", "j", vx.total(F.zip_with("axis", "other", lambda x, y: x * y)).alias("dot")
+    )
+    values = projected.select(vector_to_array("features").alias("features"))
+    cov = vec.covariance(values, "features")
+    spread = cov.where("i = j").agg(
+        F.sum("cov").alias("total"),
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "cov"))), lambda s: s["cov"]).alias("each"),
+    )
+    falling = F.forall(F.sequence(F.lit(1), F.size("each") - 1), lambda k: F.col("each")[k] <= F.col("each")[k - 1] + 1e-9)
+    spread = spread.select(F.struct("total", falling.alias("falling")).alias("s")).scalar()
+    off = F.when(F.col("i") != F.col("j"), F.abs(F.round("cov", 6))).alias("off")
+    found = dots.join(cov, ["i", "j"]).withColumn("s", spread)
+    return found.select(
+        "i", "j", F.abs(F.round("dot", 6)).alias("dot"), off,
+        F.round("s.total", 5).alias("total"), F.col("s.falling").alias("falling"),
+    )
+
+
 def pca_documents(spark, sf_dir):
     vectors = jobs.reduce_posts(_documents(spark, sf_dir), TOP_TERMS)
     vectors = materialise(vectors, "reduced")
@@ -269,10 +307,10 @@ def pca_nb(spark, sf_dir):
 
 
 def _neighbouring_ids(spark, sf_dir):
-    """Each post with the one before it: one cell of the similarity table per post."""
-    ids = _table(spark, sf_dir, "documents").select("doc_id")
-    before = ids.select((F.col("doc_id") + 1).alias("id0"), F.col("doc_id").alias("id1"))
-    return before.join(ids.select(F.col("doc_id").alias("id0")), "id0")
+    """Each post with the one before it in the order of ids: one cell per post."""
+    ids = with_position(_table(spark, sf_dir, "documents").select("doc_id"), F.col("doc_id"))
+    after = ids.select((F.col("position") - 1).alias("position"), F.col("doc_id").alias("id0"))
+    return after.join(ids.withColumnRenamed("doc_id", "id1"), "position").select("id0", "id1")
 
 
 def _nested(spark, sf_dir):
@@ -297,6 +335,12 @@ def cosine_pairs(spark, sf_dir):
     return _rounded(jobs.similar_posts(_documents(spark, sf_dir), MIN_COSINE), "cosine")
 
 
+def cosine_pairs_grid(spark, sf_dir):
+    """As ``cosine_pairs``, with the rows of every prefix term dealt into groups of five."""
+    pairs = jobs.similar_posts(_documents(spark, sf_dir), MIN_COSINE, group_rows=5)
+    return _rounded(pairs, "cosine")
+
+
 def cosine_pairs_repeat(spark, sf_dir):
     pairs = jobs.similar_posts(_documents(spark, sf_dir), MIN_COSINE, repeat_weighting=True)
     return _rounded(pairs, "cosine")
@@ -342,6 +386,12 @@ def knn_neighbors(spark, sf_dir):
     return _rounded(jobs.knn(_points(spark, sf_dir), K).neighbors, "distance")
 
 
+def knn_neighbors_cells(spark, sf_dir):
+    """As ``knn_neighbors``, with 16 cells cut into blocks of 64 rows."""
+    found = jobs.knn(_points(spark, sf_dir), K, pivots=16, block_rows=64).neighbors
+    return _rounded(found, "distance")
+
+
 def knn_predict_all(spark, sf_dir):
     return jobs.knn(_points(spark, sf_dir), K).predicted
 
@@ -355,11 +405,9 @@ def tag_postings(spark, sf_dir):
 
 
 def tag_posting_lists(spark, sf_dir):
-    lists = tg.posting_lists(tg.tag_rows(_posts(spark, sf_dir)), "doc_id")
-    ids = lists.select("tag", F.explode("ids").alias("doc_id"))
-    return ids.groupBy("tag").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum")
-    )
+    lists = tg.posting_lists(tg.tag_rows(_posts(spark, sf_dir)), "doc_id", LIST_ROWS)
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return lists.select("tag", "part", ids.alias("ids"))
 
 
 def top_predicted_tags(spark, sf_dir):
@@ -380,6 +428,14 @@ def tag_metrics(spark, sf_dir):
     return _rounded(metrics, "precision", "recall", "accuracy", "f_score")
 
 
+def tag_metrics_all(spark, sf_dir):
+    """Metrics of every predicted tag, saved and loaded again."""
+    metrics = jobs.knn(_points(spark, sf_dir), K, top_predicted=None).metrics
+    path = stage_path(spark, "metrics")
+    src.save_stage(metrics, path)
+    return _rounded(src.load_stage(spark, path), "precision", "recall", "accuracy", "f_score")
+
+
 def knn_hit_rate(spark, sf_dir):
     points = _points(spark, sf_dir)
     tested = neighbors.split_by_hash(points, "id").where(~F.col("is_train"))
@@ -393,7 +449,7 @@ def knn_documents(spark, sf_dir):
 
 
 def knn_documents_metrics(spark, sf_dir):
-    metrics = jobs.knn(_text_points(spark, sf_dir), K).metrics
+    metrics = jobs.knn_of_posts(_posts(spark, sf_dir), K, TOP_TERMS).metrics
     return _rounded(metrics, "precision", "recall", "accuracy", "f_score")
 
 
@@ -426,6 +482,22 @@ def nb_confusion(spark, sf_dir):
     return evaluate.confusion_matrix(jobs.bayes_for_tag(_points(spark, sf_dir), NB_TAG))
 
 
+def nb_documents(spark, sf_dir):
+    """Naive Bayes from posts to confusion matrix, on the strongest terms."""
+    return jobs.bayes_of_posts(_posts(spark, sf_dir), TEXT_TAG, TOP_TERMS, None, TEXT_DIMS)
+
+
+def nb_documents_pca(spark, sf_dir):
+    """The same by way of ten principal axes."""
+    return jobs.bayes_of_posts(_posts(spark, sf_dir), TEXT_TAG, TOP_TERMS, 10)
+
+
+def nb_predict_all_tags_passes(spark, sf_dir):
+    """As ``nb_predict_all_tags``, three tags to a pass."""
+    points = _points(spark, sf_dir)
+    return jobs.bayes_for_tags(points, tg.distinct_tags(points), tags_per_pass=3)
+
+
 def nb_predict_all_tags(spark, sf_dir):
     points = _points(spark, sf_dir)
     return jobs.bayes_for_tags(points, tg.distinct_tags(points))
@@ -448,18 +520,22 @@ QUERIES = {
     for fn in (
         parse_posts, text_source, stage_roundtrip, peek,
         tokenize, inverted_index, token_total, vocabulary, document_frequency,
-        tf_normalised, idf_ratio, idf_smooth, tfidf_ratio, tfidf_smooth,
+        tf_normalised, idf_ratio, idf_smooth, tfidf_ratio, tfidf_ratio_hot, tfidf_smooth,
         tf_hashed, tfidf_hashed, term_totals, top_terms, top_terms_collapsed,
+        top_terms_collapsed_ratio,
         vocab_vectors, reduced_vectors, reduced_vectors_dense, doc_norms,
         sparse_from_dense, vector_sum, vec_add,
-        pca_covariance, pca_transform, pca_documents, pca_nb,
-        common_tokens, cosine_of_pairs, post_copies, cosine_pairs, cosine_pairs_repeat,
+        pca_covariance, pca_axes, pca_transform, pca_documents, pca_nb,
+        common_tokens, cosine_of_pairs, post_copies, cosine_pairs, cosine_pairs_grid,
+        cosine_pairs_repeat,
         tag_counts, tag_total, top_percent_tags, posts_with_tag, non_tag_anti,
         train_test_split, train_semi,
-        knn_neighbors, knn_predict_all, knn_predict_first, tag_postings, tag_posting_lists,
-        top_predicted_tags, top_actual_tags, tag_confusion, tag_metrics, knn_hit_rate,
+        knn_neighbors, knn_neighbors_cells, knn_predict_all, knn_predict_first, tag_postings, tag_posting_lists,
+        top_predicted_tags, top_actual_tags, tag_confusion, tag_metrics, tag_metrics_all,
+        knn_hit_rate,
         knn_documents, knn_documents_metrics,
         class_prior, column_stats, nb_predict, nb_predict_holdout, nb_confusion,
-        nb_predict_all_tags, nb_top_tag_metrics,
+        nb_documents, nb_documents_pca, nb_predict_all_tags, nb_predict_all_tags_passes,
+        nb_top_tag_metrics,
     )
 }

@@ -75,3 +75,42 @@ def test_all_tags_agree_with_one_by_one(spark, tags_per_pass):
         for r in jobs.bayes_for_tag(frame, tag).where("prediction").collect()
     }
     assert together == single and single
+
+
+def agree(spark, frame, tags):
+    targets = spark.createDataFrame([(t,) for t in tags], "tag string")
+    together = {(r.id, r.tag) for r in jobs.bayes_for_tags(frame, targets).collect()}
+    single = {
+        (r.id, tag)
+        for tag in tags
+        for r in jobs.bayes_for_tag(frame, tag).where("prediction").collect()
+    }
+    assert together == single
+    return together
+
+
+def test_tight_negatives_keep_their_spread(spark):
+    """Negatives far tighter than the corpus: a difference of sums has no digits left."""
+    extra = [([1e7 * (i % 2)], ["p"]) for i in range(200)] + [([5 + 0.001 * (i % 2)], ["n"]) for i in range(20)]
+    found = agree(spark, points(spark, [], [], extra), ["p", "n"])
+    assert sum(tag == "p" for _, tag in found) == 200
+
+
+def test_rare_negatives(spark):
+    extra = [([math.sin(i) * 10], ["most"] if i % 30 else ["few"]) for i in range(120)]
+    agree(spark, points(spark, [], [], extra), ["most", "few"])
+
+
+def test_point_and_model_of_different_size(spark):
+    frame = points(spark, [1, 3], [10, 14, 15])
+    model = bayes.fit(frame.selectExpr("id", "features", "array_contains(tags, 'c#') AS label"))
+    asked = spark.createDataFrame([(1, [1.0, 2.0])], "id bigint, features array<double>")
+    with pytest.raises(Exception, match="differ in size"):
+        bayes.predict(asked, model).collect()
+
+
+def test_fewer_dimensions(spark):
+    frame = points(spark, [[1, 9], [2, 9], [3, 9]], [[11, 9], [12, 9], [14, 9]])
+    assert not any(r.prediction for r in jobs.bayes_for_tag(frame, "c#").collect())
+    judged = jobs.bayes_for_tag(frame, "c#", dims=1).collect()
+    assert [r.prediction for r in sorted(judged)] == [True] * 3 + [False] * 3
