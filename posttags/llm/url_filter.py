@@ -68,18 +68,27 @@ def rule_of(rules: list[Rule]) -> tuple[Column, Column]:
     return text, allow
 
 
-def gram_codes(url: Column) -> Column:
-    """Each symbol of a URL with the three before it, as numbers of base 33; null if none."""
+def folded(url: Column) -> Column:
+    """A URL without its scheme, in the symbols of the models."""
     low = F.regexp_replace(lower_ascii(F.coalesce(url, F.lit(""))), "^[a-z]*://", "")
-    folded = F.regexp_replace(low, r"[^a-z0-9/.\-?=&_#]", "~")
-    folded = F.translate(folded, "123456789=&_#", "000000000????")
-    padded = F.concat(F.lit("^" * ORDER), folded)
+    known = F.regexp_replace(low, r"[^a-z0-9/.\-?=&_#]", "~")
+    return F.translate(known, "123456789=&_#", "000000000????")
+
+
+def gram_codes(symbols: Column) -> Column:
+    """Each symbol with the three before it, as numbers of base 33; null for no symbols.
+
+    ``symbols`` should be a stored column: it is read once for every symbol.
+    """
 
     def code(at: Column) -> Column:
-        digits = [F.instr(F.lit(SYMBOLS), F.substring(padded, at + i, 1)) - 1 for i in range(4)]
+        digits = []
+        for back in range(ORDER, -1, -1):
+            sign = F.substring(symbols, at - back, 1)
+            digits.append(F.when(at > back, F.instr(F.lit(SYMBOLS), sign) - 1).otherwise(0))
         return reduce(lambda total, digit: total * BASE + digit, digits).cast("int")
 
-    length = F.length(folded)
+    length = F.length(symbols)
     return F.when(length > 0, F.transform(F.sequence(F.lit(1), length), code))
 
 
@@ -161,10 +170,11 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
         urls.select(
             F.monotonically_increasing_id().alias("row"), "*",
             rule.alias("rule"), allow.alias("label"), held.alias("held"),
+            folded(F.col("url")).alias("symbols"),
         ),
         "urls",
     )
-    grams = urls.select("*", F.explode_outer(gram_codes(F.col("url"))).alias("code"))
+    grams = urls.select("*", F.explode_outer(gram_codes(F.col("symbols"))).alias("code"))
     train = F.col("label").isNotNull() & ~F.col("held")
     counts = materialise(
         grams.where("code is not null")
