@@ -101,6 +101,77 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
+_LOW = """translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+
+def _url_oracle() -> str:
+    """Rules, then the two Markov models with their threshold."""
+    rules = ", ".join(f"('{r.host}', '{r.path}', {r.allow})" for r in URL_RULES)
+    mixed = {"accepted": "1.0 / 33", "rejected": "1.0 / 33"}
+    joins = ""
+    for size in range(4):
+        joins += f"""
+            JOIN counts c{size} ON c{size}.size = {size} AND c{size}.context = right(g.context, {size})
+                AND c{size}.sign = g.sign
+            JOIN contexts h{size} ON h{size}.size = {size} AND h{size}.context = right(g.context, {size})"""
+        for side in mixed:
+            mixed[side] = f"(c{size}.{side} + 4.0 * ({mixed[side]})) / (h{size}.{side} + 4.0)"
+    place = f"least(greatest((score + {url_filter.RANGE}) / {2 * url_filter.RANGE}, 0.0), 1.0)"
+    step = 2 * url_filter.RANGE / url_filter.BINS
+    return f"""
+        WITH urls AS (
+            SELECT page_id, url, {_LOW.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+                   regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path
+            FROM (SELECT page_id, url, CASE WHEN contains(url, '://')
+                         THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+        rules(rhost, rpath, allow) AS (VALUES {rules}),
+        ruled AS (
+            SELECT page_id, any_value(url) AS url, any_value(host) AS host, any_value(path) AS path,
+                   arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+                   arg_max(allow, length(rhost || rpath)) AS label
+            FROM urls LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost))
+                 AND starts_with(path, rpath)
+            GROUP BY page_id),
+        marked AS (
+            SELECT *, coalesce(CAST('0x' || substr(md5(url), 1, 8) AS BIGINT) % {url_filter.HOLD} = 0, FALSE) AS held,
+                   translate(regexp_replace(regexp_replace({_LOW.format("coalesce(url, '')")}, '^[a-z]*://', ''),
+                             '[^a-z0-9/.\\-?=&_#]', '~', 'g'), '123456789=&_#', '000000000????') AS symbols
+            FROM ruled),
+        spread AS (
+            SELECT page_id, label, held, '^^^' || symbols AS s, unnest(generate_series(1, length(symbols))) AS place
+            FROM marked WHERE symbols <> ''),
+        grams AS (
+            SELECT page_id, label, held, substr(s, place, 3) AS context, substr(s, place + 3, 1) AS sign FROM spread),
+        counts AS (
+            SELECT size, right(context, size) AS context, sign,
+                   sum(CASE WHEN label AND NOT held THEN 1 ELSE 0 END) AS accepted,
+                   sum(CASE WHEN NOT label AND NOT held THEN 1 ELSE 0 END) AS rejected
+            FROM grams, (SELECT unnest([0, 1, 2, 3]) AS size) GROUP BY ALL),
+        contexts AS (
+            SELECT size, context, sum(accepted) AS accepted, sum(rejected) AS rejected FROM counts GROUP BY ALL),
+        model AS (
+            SELECT g.context, g.sign, ln(({mixed["accepted"]}) / ({mixed["rejected"]})) AS ratio
+            FROM (SELECT DISTINCT context, sign FROM grams) g {joins}),
+        scored AS (
+            SELECT page_id, round(avg(ratio), 9) AS score FROM grams JOIN model USING (context, sign) GROUP BY page_id),
+        judged AS (
+            SELECT m.*, coalesce(score, 0.0) AS score FROM marked m LEFT JOIN scored USING (page_id)),
+        bins AS (
+            SELECT CAST(floor({place} * {url_filter.BINS}) AS INTEGER) AS bin,
+                   sum(label::INT) AS good, sum((NOT label)::INT) AS bad
+            FROM judged WHERE label IS NOT NULL AND held GROUP BY bin),
+        errors AS (
+            SELECT bin, 0.5 * (sum(good) OVER (ORDER BY bin) - good) / sum(good) OVER ()
+                   + 0.5 * (sum(bad) OVER () - sum(bad) OVER (ORDER BY bin) + bad) / sum(bad) OVER () AS error
+            FROM bins),
+        best AS (
+            SELECT coalesce(arg_min(CAST(bin * {step} - {url_filter.RANGE} AS DOUBLE), (error, bin)), 0.0) AS threshold FROM errors)
+        SELECT page_id, host, path, rule,
+               CASE WHEN coalesce(label, score >= threshold) THEN 'allow' ELSE 'block' END AS verdict,
+               score, threshold FROM judged, best
+    """
+
+
 ORACLE = {
     "op1_exact_dedup": """
         WITH t AS (
@@ -111,4 +182,52 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, sha256(low) AS text_sha256
         FROM t WINDOW same AS (PARTITION BY low)
     """,
+    "op4_suffix_dedup": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, encode(coalesce(text, '')) AS raw FROM documents),
+        places AS (
+            SELECT doc_id, raw, unnest(generate_series(1, octet_length(raw) - 49)) AS i FROM d WHERE octet_length(raw) >= 50),
+        runs AS (SELECT doc_id, i, hash(raw[i:i + 49]) AS w FROM places),
+        firsts AS (SELECT w, min(doc_id) AS least FROM runs GROUP BY w),
+        gone AS (SELECT doc_id, i FROM runs JOIN firsts USING (w) WHERE doc_id > least),
+        marked AS (
+            SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new
+            FROM gone),
+        numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+        spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, span),
+        pieces AS (
+            SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS f, a AS t FROM spans
+            UNION ALL
+            SELECT d.doc_id, coalesce(max(b), 1), any_value(length(h)) // 2 + 1
+            FROM d LEFT JOIN spans s ON d.doc_id = s.doc_id GROUP BY d.doc_id),
+        kept AS (
+            SELECT d.doc_id, string_agg(substr(h, 2 * f - 1, 2 * (t - f)), '' ORDER BY f, t) AS k
+            FROM d JOIN pieces p ON d.doc_id = p.doc_id GROUP BY d.doc_id),
+        sums AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n FROM spans GROUP BY doc_id)
+        SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+               coalesce(n, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+        FROM d JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN sums ON d.doc_id = sums.doc_id
+    """,
+    "op7_minhash": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex({_LOW.format("coalesce(text, '')")},
+                   '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS ws FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                   ELSE list_distinct(list_transform(generate_series(1, len(ws) - 4),
+                        lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+        e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+        links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+        reach(doc_id, c) AS (
+            SELECT doc_id, doc_id FROM s
+            UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.c)
+        SELECT s.doc_id, len(any_value(sh)) AS n_shingles, min(c) AS component_id,
+               s.doc_id = min(c) AS kept
+        FROM s JOIN reach r ON s.doc_id = r.doc_id GROUP BY s.doc_id
+    """,
+    "op8_url_filter": _url_oracle(),
 }

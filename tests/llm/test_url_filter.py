@@ -1,3 +1,4 @@
+import hashlib
 import math
 import re
 from collections import Counter
@@ -80,10 +81,9 @@ def test_hosts_paths_and_rules(judged):
             assert got[i].verdict == ("allow" if rule.allow else "block")
 
 
-def test_scores_equal_a_plain_model(spark, judged):
+def test_scores_equal_a_plain_model(judged):
     urls, got = judged
-    held = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string")
-    held = {r.i for r in held.where("pmod(xxhash64(url), 5) = 0").collect()}
+    held = {i for i, u in enumerate(urls) if u is not None and int(hashlib.md5(u.encode()).hexdigest()[:8], 16) % 5 == 0}
     labels = {i: r.allow for i, u in enumerate(urls) if (r := rule_of(*split(u)))}
     good = model([urls[i] for i, a in labels.items() if a and i not in held])
     bad = model([urls[i] for i, a in labels.items() if not a and i not in held])
