@@ -59,6 +59,13 @@ def tfidf(
     )
 
 
+def hashed_tfidf(counts: DataFrame, n: Column, min_df: int = 2) -> DataFrame:
+    """Smooth TF-IDF over buckets, whose number bounds the IDF table: it is broadcast."""
+    table = idf(counts, n, SMOOTH, min_df).where(F.col("idf") != 0)
+    weighed = counts.join(F.broadcast(table), "term")
+    return weighed.select("doc_id", "term", "cnt", "df", (F.col("cnt") * F.col("idf")).alias("weight"))
+
+
 def hashed_counts(tokenised: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
     """``doc_id, term, cnt`` with the term replaced by its MD5 bucket."""
     hashed = F.transform("tokens", lambda token: tx.md5_bucket(token, buckets))

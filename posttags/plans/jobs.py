@@ -44,7 +44,7 @@ def hashed_tfidf_of(
 ) -> DataFrame:
     """Posts -> smooth TF-IDF over MD5 buckets; ``term`` is the bucket."""
     counts = wt.hashed_counts(tk.tokenise(posts, stopwords), buckets)
-    return wt.tfidf(counts, wt.n_posts(posts), wt.SMOOTH)
+    return wt.hashed_tfidf(counts, wt.n_posts(posts))
 
 
 def strongest_terms(

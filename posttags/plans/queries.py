@@ -269,11 +269,10 @@ def pca_axes(spark, sf_dir):
     vectors = vec.as_ml_vectors(_points(spark, sf_dir), "id", F.col("features"))
     width = len(vectors.first()["features"])
     model, projected = jobs.pca_of(vectors, "id", width)
-    axes = model.pc.toArray().T.tolist()
-    rows = spark.createDataFrame([(i, axis) for i, axis in enumerate(axes)], "i int, axis array<double>")
-    other = rows.select(F.col("i").alias("j"), F.col("axis").alias("other"))
-    dots = rows.join(other, F.col("i") <= F.col("j")).select(
-        "i", "j", vx.total(F.zip_with("axis", "other", lambda x, y: x * y)).alias("dot")
+    axes = model.pc.toArray()
+    dots = (axes.T @ axes).tolist()
+    dots = spark.createDataFrame(
+        [(i, j, dots[i][j]) for i in range(width) for j in range(i, width)], "i int, j int, dot double"
     )
     values = projected.select(vector_to_array("features").alias("features"))
     cov = vec.covariance(values, "features")

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+_open_scopes: list[list[str]] = []
+
 
 def local_session(cpus: int | str = "*", app: str = "posttags") -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
@@ -45,7 +49,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; runs never overwrite each other's stages."""
-    return f"{shared_dir(spark)}/posttags/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/posttags/{name}-{uuid.uuid4().hex}"
+    for made in _open_scopes:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the stages made within it at its end; results must be written by then."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes[:] = [scope for scope in _open_scopes if scope is not made]
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in made:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Parsing, reading, stages, positions, and the hot-key join."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
@@ -93,3 +95,18 @@ def test_hashed_weights_merge_colliding_words(spark, small_posts):
     assert one.count() == 0  # every post has the one bucket: ln(6/6)
     counts = wt.hashed_counts(tk.tokenise(small_posts, ["the"]), 1)
     assert {r.doc_id: r.cnt for r in counts.collect()} == {0: 4, 1: 3, 2: 3, 3: 3, 4: 2}
+
+
+def test_scope_removes_its_stages(spark):
+    from posttags.session import materialise, shared_dir, stage_scope
+
+    def stages():
+        folder = Path(shared_dir(spark).removeprefix("file:")) / "posttags"
+        return {p.name for p in folder.glob("scoped-*")}
+
+    kept = materialise(spark.range(3), "scoped")
+    before = stages()
+    with stage_scope(spark):
+        materialise(spark.range(5), "scoped")
+        assert len(stages()) == len(before) + 1
+    assert stages() == before and kept.count() == 3
