@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from posttags.functions import text as tx
 from posttags.functions.rows import hold, unfold, unfold_numbered
+from posttags.session import materialise
 from posttags.skew import lookup
 
 
@@ -76,7 +77,7 @@ def post_copies(tokenised: DataFrame) -> DataFrame:
 
     Linear in the posts however many copies there are. Posts without tokens are left out.
     """
-    keyed = _with_bag_key(tokenised)
+    keyed = materialise(_with_bag_key(tokenised), "bag-keys")
     reps = keyed.groupBy("bag").agg(F.min("doc_id").alias("rep_id"))
     return lookup(keyed, reps, "bag").select("doc_id", "rep_id")
 

@@ -75,9 +75,10 @@ CTES = {
     "bag_of": """
         SELECT doc_id, string_agg(token, ' ' ORDER BY token) AS bag FROM words GROUP BY doc_id""",
     "bags": """
-        SELECT bag, min(doc_id) AS rep_id, max(doc_id) AS last_id FROM bag_of GROUP BY bag""",
+        SELECT bag, min(doc_id) AS rep_id, max(doc_id) AS last_id, count(*) AS n_posts
+        FROM bag_of GROUP BY bag""",
     "unit": """
-        SELECT doc_id, last_id, term, cnt,
+        SELECT doc_id, last_id, n_posts, term, cnt,
                weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS u
         FROM w_r JOIN bags ON doc_id = rep_id""",
     "unit_all": """
@@ -212,7 +213,8 @@ _NB_ONE = f"tag = '{NB_TAG}'"
 def _pairs(weight: str, condition: str) -> str:
     value = f"round(sum({weight}), 9)"
     return f"""
-        SELECT a.doc_id AS id0, b.doc_id AS id1, round({value}, 6) AS cosine
+        SELECT a.doc_id AS id0, b.doc_id AS id1, round({value}, 6) AS cosine,
+               any_value(a.n_posts) AS copies0, any_value(b.n_posts) AS copies1
         FROM unit a JOIN unit b ON a.term = b.term AND {condition}
         GROUP BY a.doc_id, b.doc_id HAVING {value} >= {MIN_COSINE}"""
 
