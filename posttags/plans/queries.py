@@ -23,7 +23,7 @@ from posttags.operators import (
     weights as wt,
 )
 from posttags.plans import jobs
-from posttags.session import materialise, stage_path
+from posttags.session import materialise, spread, stage_path
 from posttags.skew import with_position
 from posttags.sources import posts as src
 
@@ -42,13 +42,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents")
+    return spread(_table(spark, sf_dir, "documents"), "doc_id")
 
 
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.posts_from_tables(
-        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    )
+    return src.posts_from_tables(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
 def _tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Parts that tables are dealt into on reading; unset, they come as their files split.
+SPREAD_KEY = "spark.posttags.spread"
 
 _open_scopes: list[list[str]] = []
 
@@ -23,11 +25,21 @@ def local_session(cpus: int | str = "*", app: str = "posttags") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(SPREAD_KEY, "8" if cpus == "*" else str(cpus))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt into as many parts as the session asks for.
+
+    For sessions whose tables are single files of one row group, which no scan can split.
+    """
+    parts = rows.sparkSession.conf.get(SPREAD_KEY, None)
+    return rows.repartition(int(parts), *keys) if parts else rows
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
