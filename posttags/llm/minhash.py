@@ -24,6 +24,8 @@ SIMILAR = 75  # per cent
 # Similarity that signatures of 128 coordinates must show before whole sets are compared, in
 # buckets whose first comparison left them apart: 4 standard errors below the threshold.
 PROMISING = 0.60
+# Share of the members still apart that must join for another round of best partners.
+JOINING = 0.2
 # Members of a bucket compared with each other in one task.
 TILE = 1500
 _SCATTER = np.uint64(0xBF58476D1CE4E5B9)
@@ -181,7 +183,7 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -
     Returns one row per input row: ``doc_id, n_shingles, component_id, kept``. Equal sets are
     one class and are compared once. In every bucket of a band each member meets the bucket's
     least doc_id first. While a bucket's members are in several components, each meets its
-    most promising partner in another one; once that joins none any more, all promising pairs
+    most promising partner in another one; once that joins few any more, all promising pairs
     across components are compared. Links hold on whole sets only.
 
     Words are cut at ASCII white space, A-Z lower-cased. A null or empty text, or one without
@@ -224,10 +226,11 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -
         pairs = cross_pairs(members, best, tile).join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "cross-pairs")
         more = materialise(verified(pairs, sets, similar), "verified")
-        tested, links, joined = tested.unionByName(pairs), links.unionByName(more), not more.isEmpty()
+        tested, links = tested.unionByName(pairs), links.unionByName(more)
         if not best:
             break
-        best = joined  # the last round compares every promising pair that is left
+        # once few members find a partner, the last round compares all promising pairs left
+        best = more.count() > JOINING * members.select("doc_id").distinct().count()
     found = components(links).withColumnRenamed("node", "rep")
     judged = materialise(
         classes.select("set_id", "rep", "size")
