@@ -6,7 +6,6 @@ Three-word seeds that are rare among all documents propose places in documents;
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from posttags.llm.common import whole_text
-from posttags.llm.shingles import hashed, ngrams
+from posttags.llm.shingles import ngrams, word_hashes
 from posttags.session import materialise
 
 SEED = 3
@@ -25,12 +24,13 @@ LEAK = 0.5
 # Words of benchmark items that tasks hold at once; a larger benchmark takes several passes.
 HELD_WORDS = 1_000_000
 
-_WORD = re.compile(r"\w+")
+# ASCII signs and blanks divide words; bytes of other characters belong to them.
+_DIVIDE = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def words_of(text: str) -> np.ndarray:
-    """Hashed words, lower-cased, without signs."""
-    return hashed([w.encode() for w in _WORD.findall(text.lower())])
+    """Hashed words, lower-cased, without ASCII signs."""
+    return word_hashes(text.lower().encode(), _DIVIDE)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -84,8 +84,7 @@ def seed_frequency(docs: DataFrame, seeds: np.ndarray) -> DataFrame:
         total = np.zeros(len(seeds), np.int64)
         for batch in batches:
             for text in batch.column(1).to_pylist():
-                runs = np.unique(ngrams(words_of(text), SEED)).astype(np.int64)
-                total += np.bincount(_places(seeds, runs)[1], minlength=len(seeds))
+                total[np.unique(_places(seeds, ngrams(words_of(text), SEED).astype(np.int64))[1])] += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seeds[at]), pa.array(total[at])], ["seed", "n"])
 
@@ -107,7 +106,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, leak: float = LEAK, held: int =
 
     Returns ``doc_id, item_id, score, start_word, n_words`` for each row of ``docs`` and item
     whose best alignment reaches ``leak`` of the item's perfect score: 2 for each equal word,
-    -1 for another word, a missing or an extra one. Words are runs of letters and digits.
+    -1 for another word, a missing or an extra one. Words are what ASCII signs and blanks
+    divide.
 
     Seeds of an item are the half of its three-word runs that fewest documents have, so an
     item always has seeds however often it was copied. Items of fewer than three words, null
