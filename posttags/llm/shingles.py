@@ -8,6 +8,7 @@ WIDTH = 5
 _ODD_A, _ODD_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 # A word's number is a polynomial in BASE, modulo 2**64, over a drawn value for each byte.
 _BASE = 0xC2B2AE3D27D4EB4F
+_FACTORS = (_BASE, pow(_BASE, -1, 1 << 64))
 _VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of BASE and of its inverse
 
@@ -17,8 +18,8 @@ ASCII_BLANKS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 def _powers_to(n: int) -> list[np.ndarray]:
     """The first powers of BASE and of its inverse, kept by the worker and grown by doubling."""
-    for side, factor in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-        while len(_powers[side]) < n:
+    while len(_powers[0]) < n:
+        for side, factor in enumerate(_FACTORS):
             have = _powers[side]
             step = np.uint64(pow(factor, len(have), 1 << 64))
             _powers[side] = np.concatenate([have, have * step])
