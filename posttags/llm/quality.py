@@ -21,7 +21,7 @@ from posttags.llm.common import whole_text
 SHAPES, WORDS = 1024, 8192
 TERMS = SHAPES + WORDS
 # At most this many labelled rows are learnt from, spread over the labelled rows by hash.
-SAMPLE = 3000
+SAMPLE = 2000
 DIMENSIONS, NEIGHBOURS = 64, 15
 REMEMBER = 500_000
 BLOCK = 512
@@ -150,30 +150,32 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "qual
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(2),
-                    pa.array([f[0] for f in found], pa.list_(pa.int64())),
-                    pa.array([f[1] for f in found], pa.list_(pa.int64())),
+                    pa.array([f[0].astype("<i4").tobytes() for f in found], pa.binary()),
+                    pa.array([f[1].astype("<i4").tobytes() for f in found], pa.binary()),
                 ],
                 ["doc_id", "label", "terms", "counts"],
             )
 
     sample = labelled_sample(docs, labels, label, held_out, SAMPLE).select("doc_id", "text", "label")
     sample = sample.withColumn("label", F.col("label").cast("long"))
-    rows = sample.mapInArrow(terms, "doc_id long, label long, terms array<long>, counts array<long>")
+    rows = sample.mapInArrow(terms, "doc_id long, label long, terms binary, counts binary")
     rows = rows.orderBy("doc_id", "label").limit(SAMPLE).collect()
     matrix = np.zeros((len(rows), TERMS), np.float32)
     for at, row in enumerate(rows):
-        if row.terms:
-            matrix[at, row.terms] = (1 + np.log(row.counts)) * weights[row.terms]
+        terms, counts = (np.frombuffer(load, "<i4") for load in (row.terms, row.counts))
+        matrix[at, terms] = (1 + np.log(counts)) * weights[terms]
+    found = np.array([row.label for row in rows], float)
+    del rows  # the driver holds one matrix of the sample at a time
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
     # singular directions by way of the rows' products, which are fewer than the terms
-    values, vectors = np.linalg.eigh(matrix @ matrix.T) if rows else (np.empty(0), np.empty((0, 0)))
+    values, vectors = np.linalg.eigh(matrix @ matrix.T) if len(found) else (found, np.empty((0, 0)))
     lead = [i for i in np.argsort(-values)[:DIMENSIONS] if values[i] > 1e-6]
     directions = (matrix.T @ vectors[:, lead]) / np.sqrt(values[lead]) if lead else np.zeros((TERMS, 1))
     latent = matrix @ directions
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
     return Model(
         weights.astype(np.float32), directions.astype(np.float32), latent.astype(np.float32),
-        np.array([row.label for row in rows], float),
+        found,
     )
 
 
