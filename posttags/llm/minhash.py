@@ -95,9 +95,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataF
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
             keep = []
             for x, y in zip(left, right):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= similar * (len(x) + len(y) - both))
+                keep.append(_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similar))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
@@ -112,13 +110,21 @@ def band_keys(signature: Column) -> Column:
     return F.array(*parts)
 
 
-def cross_pairs(members: DataFrame, best: bool, tile: int = TILE) -> DataFrame:
-    """Promising pairs between members of different components within a bucket, as ``a, b``.
+def _linked(left: np.ndarray, right: np.ndarray, similar: int) -> bool:
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= similar * (len(left) + len(right) - both)
 
-    ``members`` has ``key, doc_id, component, n_shingles, signature``. A bucket is dealt into
-    tiles, each pair of tiles is one task's work, and only pairs whose signatures agree on
-    PROMISING of the coordinates come out; with ``best`` only the most promising partner of
-    each member, so that the pairs are no more than the members.
+
+def cross_pairs(
+    members: DataFrame, best: bool, tile: int = TILE, similar: int = SIMILAR
+) -> DataFrame:
+    """Pairs between members of different components within a bucket, as ``a, b``.
+
+    ``members`` has ``key, band, doc_id, component, n_shingles, signature``. A bucket is dealt
+    into tiles, each pair of tiles is one task's work, and only pairs whose signatures agree
+    on PROMISING of the coordinates are looked at. With ``best`` the most promising partner of
+    each member comes out, to be verified. Without, ``members`` also has ``shingles``: pairs
+    are verified in place, each in its first common band alone, and only links come out.
     """
     tiles = members.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     mine = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
@@ -138,6 +144,8 @@ def cross_pairs(members: DataFrame, best: bool, tile: int = TILE) -> DataFrame:
         rows = rows.reshape(len(ids), -1)
         first = group.column("mine").to_numpy() == group.column("low")[0].as_py()
         left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        bands, band = rows.reshape(len(ids), -1, ROWS), group.column("band")[0].as_py()
+        sets = [] if best else [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
         found = []
         for i in range(len(ids)):
             near = right if first[i] and len(right) else left
@@ -150,6 +158,10 @@ def cross_pairs(members: DataFrame, best: bool, tile: int = TILE) -> DataFrame:
             if best and len(near):
                 top = np.lexsort((ids[near], -equal))[:1]
                 near, equal = near[top], equal[top]
+            if not best and len(near):
+                once = (ids[near] > ids[i]) & ((bands[near] == bands[i]).all(axis=2).argmax(axis=1) == band)
+                linked = [j for j in near[once] if _linked(sets[i], sets[j], similar)]
+                near, equal = np.array(linked, np.int64), np.zeros(len(linked), np.int64)
             found.append((np.full(len(near), ids[i]), ids[near], equal))
         columns = [np.concatenate(c) for c in zip(*found)]
         return pa.table(dict(zip(["one", "other", "equal"], map(pa.array, columns))))
@@ -164,7 +176,7 @@ def cross_pairs(members: DataFrame, best: bool, tile: int = TILE) -> DataFrame:
 def _still_apart(stars: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     """The members, with their signatures, of buckets that hold several components."""
     labelled = stars.join(found.withColumnRenamed("node", "member"), "member", "left")
-    labelled = labelled.select("key", "member", F.coalesce("component", "member").alias("component"))
+    labelled = labelled.select("key", "band", "member", F.coalesce("component", "member").alias("component"))
     labelled = materialise(labelled, "band-components")
     apart = (
         labelled.groupBy("key")
@@ -203,7 +215,7 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -
         "set-classes",
     )
     bands = classes.select(
-        F.col("rep").alias("member"), F.explode(band_keys(F.col("signature"))).alias("key")
+        F.col("rep").alias("member"), F.posexplode(band_keys(F.col("signature"))).alias("band", "key")
     )
     buckets = bands.groupBy("key").agg(F.min("member").alias("pivot"), F.count("*").alias("n"))
     stars = materialise(
@@ -221,16 +233,17 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -
     sets = materialise(shingle_sets(whole), "shingle-sets")
     links = materialise(verified(first, sets, similar), "verified")
     tested, best = first, True
-    while True:
+    while best:
         members = _still_apart(stars, classes, components(links))
-        pairs = cross_pairs(members, best, tile).join(tested, ["a", "b"], "left_anti")
+        pairs = cross_pairs(members, True, tile).join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "cross-pairs")
         more = materialise(verified(pairs, sets, similar), "verified")
         tested, links = tested.unionByName(pairs), links.unionByName(more)
-        if not best:
-            break
-        # once few members find a partner, the last round compares all promising pairs left
+        # once few members find a partner, all promising pairs left are compared
         best = more.count() > JOINING * members.select("doc_id").distinct().count()
+    members = _still_apart(stars, classes, components(links)).join(sets, "doc_id")
+    more = materialise(cross_pairs(members, False, tile, similar), "verified")
+    links = links.unionByName(more)
     found = components(links).withColumnRenamed("node", "rep")
     judged = materialise(
         classes.select("set_id", "rep", "size")
