@@ -76,3 +76,34 @@ def test_an_item_copied_everywhere_still_has_seeds(spark):
     docs = [(i, f"head{i} {text} tail{i}") for i in range(100)]
     bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
     assert decontaminate.leaks(table(spark, docs), bench).count() == 100
+
+
+def test_equals_aligning_every_document_with_every_item(spark):
+    """Copies with 20 to 33 % other words, halves, and words put in after every second one."""
+    rnd = random.Random(21)
+    words = [f"w{i}" for i in range(400)] + ["the", "of", "and"] * 60
+    items = [[rnd.choice(words) for _ in range(rnd.choice([3, 16, 25, 39, 70]))] for _ in range(16)]
+    docs = [[rnd.choice(words) for _ in range(rnd.choice([0, 3, 40, 400, 1500]))] for _ in range(30)]
+    for i in range(160):
+        copy, text = list(rnd.choice(items)), [rnd.choice(words) for _ in range(rnd.choice([0, 20, 200, 900]))]
+        if i % 4 == 0:
+            copy = copy[: -(-len(copy) // 2)]
+        elif i % 4 == 1:
+            copy = [x for at, w in enumerate(copy) for x in ([w, "put"] if at % 2 else [w])]
+        else:
+            for at in rnd.sample(range(len(copy)), round(len(copy) * rnd.uniform(0.2, 0.33))):
+                copy[at] = rnd.choice(["changed", rnd.choice(words)])
+        at = rnd.randint(0, len(text))
+        docs.append(text[:at] + copy + text[at:])
+    number = {w: at for at, w in enumerate(sorted({*words, "put", "changed"}))}
+    coded = [np.array([number[w] for w in text], np.int64) for text in docs]
+    wanted = {}
+    for i, item in enumerate(items):
+        plain = np.array([number[w] for w in item])
+        for d, text in enumerate(coded):
+            score = decontaminate.align(plain, text)[0] / (2 * len(item))
+            if score >= 0.5:
+                wanted[d, i] = round(score, 6)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    got = decontaminate.leaks(table(spark, [(d, " ".join(t)) for d, t in enumerate(docs)]), bench).collect()
+    assert len(wanted) > 120 and {(r.doc_id, r.item_id): r.score for r in got} == wanted and len(got) == len(wanted)
