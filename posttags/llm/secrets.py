@@ -1,8 +1,9 @@
 """Scan texts for secrets; a random forest removes false positives.
 
-Candidates are long runs of key-like characters with a digit. The forest judges each by its
-length, its character transitions against those of the corpus, how much of it dictionary
-words cover, whether it stands in a path, and the words beside it.
+Candidates are long runs of key-like characters that are no plain words, and every value
+given to a secret's name. The forest judges each by its length, its character transitions
+against those of the corpus, how much of it dictionary words cover, whether it stands in a
+path, and the words beside it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from posttags.llm.common import whole_text
 from posttags.session import materialise
 
-LEAST = 12  # characters of a candidate
+LEAST = 12  # characters of a key-like run
+# Characters, and different ones, of a key-like run whose letters are of one case, without a digit.
+LONG, VARIED = 20, 8
 # Labelled findings the forest is trained on at most, of each label.
 SAMPLE = 5000
 # The most frequent words of the corpus that make up the dictionary, and words a task counts
@@ -33,16 +36,21 @@ CLASSES = 39  # letters, digit, and the signs + / _ - = , and anything else
 FINDING = "doc_id long, start long, length long, sha256 string, label int, features array<double>"
 
 _KEYLIKE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}+=*" % LEAST)
 _DIGIT = re.compile(r"[0-9]")
+_MIXED = re.compile(r"(?=.*[a-z]).+[A-Z]")
 _WORD = re.compile(r"[a-z]{4,12}")
 
 # Formats that are secrets, names that secrets are given to, and formats that are not.
 SECRET_FORMATS = re.compile(
     r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abpr]-[0-9A-Za-z-]{10,}|sk-[0-9A-Za-z]{20,}"
 )
-SECRET_NAMES = re.compile(
-    r"(password|passwd|pwd|secret|token|api_?key|access_?key|auth)[\"']?\s*[=:]\s*[\"']?$", re.I
-)
+_NAMES = r"(password|passwd|pwd|secret|token|api_?key|access_?key|auth)[\"']?"
+SECRET_NAMES = re.compile(_NAMES + r"\s*[=:]\s*[\"']?$", re.I)
+_NAMED, _LONGEST_NAME = re.compile(_NAMES + "$", re.I), 16
+_GIVEN = re.compile(r"[=:]+>?")
+_VALUE = re.compile(r"""\s*(?:"((?:[^"\\\n]|\\.)+)"|'((?:[^'\\\n]|\\.)+)'|["']?(\S+))""")
+_ENDS = ",;.)]}>\"'"  # after a value without quotes
 PLAIN_FORMATS = re.compile(r"[0-9+/_-]+|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[A-Za-z/_-]+[0-9]{1,4}")
 
 
@@ -60,20 +68,36 @@ _TABLE = _class_table()
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Where candidates begin and end in ``text``."""
-    found, at = [], 0
-    while digit := _DIGIT.search(text, at):
-        start = end = digit.start()
-        while start > 0 and text[start - 1] in _KEYLIKE:
-            start -= 1
-        while end < len(text) and text[end] in _KEYLIKE:
-            end += 1
-        while end < len(text) and text[end] == "=" and end - start >= LEAST:
-            end += 1
-        if end - start >= LEAST:
-            found.append((start, end))
-        at = max(end, at + 1)
-    return found
+    """Where candidates begin and end in ``text``.
+
+    Key-like runs of at least LEAST characters with a digit or letters of both cases (beyond
+    an initial), in a known format, or long and varied; and every value given to a secret's
+    name, whatever its length and characters, up to the closing quote or else white space.
+    Key-like runs within such a value are candidates of their own.
+    """
+    found = {run.span() for run in _RUN.finditer(text) if _is_keylike(run[0])}
+    return sorted(found | set(_named_values(text)))
+
+
+def _is_keylike(run: str) -> bool:
+    if _DIGIT.search(run) or _MIXED.match(run) or SECRET_FORMATS.fullmatch(run):
+        return True
+    return len(run) >= LONG and len(set(run)) >= VARIED
+
+
+def _named_values(text: str) -> Iterator[tuple[int, int]]:
+    for given in _GIVEN.finditer(text):
+        name = given.start()
+        while name and text[name - 1].isspace():
+            name -= 1
+        if not _NAMED.search(text[max(0, name - _LONGEST_NAME) : name]):
+            continue
+        if value := _VALUE.match(text, given.end()):
+            start, end = value.span(value.lastindex)
+            if value.lastindex == 3:
+                end = start + len(value[3].rstrip(_ENDS))
+            if end > start:
+                yield start, end
 
 
 def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
@@ -124,7 +148,7 @@ def features(text: str, start: int, end: int, transitions: np.ndarray, words: fr
     """What the forest sees of one candidate."""
     run = text[start:end]
     codes = _TABLE[np.frombuffer(run.encode(), np.uint8)]
-    steps = transitions[codes[:-1], codes[1:]]
+    steps = transitions[codes[:-1], codes[1:]] if len(codes) > 1 else np.zeros(1)
     shares = np.array(list(Counter(run).values())) / len(run)
     before, after = text[max(0, start - 60) : start], text[end : end + 60]
     beside = [0.0] * NEIGHBOURS

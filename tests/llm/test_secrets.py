@@ -62,3 +62,35 @@ def test_odd_rows(spark):
 def test_dictionary_coverage():
     assert secrets.covered("helloworld12", frozenset(["hello", "world"])) == pytest.approx(10 / 12)
     assert secrets.covered("qqqq", frozenset(["hello"])) == 0
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("so password=Tr0ub4dor is", "Tr0ub4dor"),
+        ("secret: correcthorsebattery", "correcthorsebattery"),
+        ('{"pwd": "P@ss.w0rd!2024", "x": 1}', "P@ss.w0rd!2024"),
+        ("api_key = 'two words' here", "two words"),
+        ("token := é", "é"),
+        ("passwd: \"it \\\"is\\\" so\"", 'it \\"is\\" so'),
+        ("(auth=ab#cd)", "ab#cd"),
+        ("password" + " " * 99 + "= x1;", "x1"),
+        ("key QwErTyUiOpAsDfGhJk there", "QwErTyUiOpAsDfGhJk"),
+        ("key qwertyuiopasdfghjklzxcvbnm there", "qwertyuiopasdfghjklzxcvbnm"),
+        ("xoxb-abcdefghij", "xoxb-abcdefghij"),
+    ],
+)
+def test_values_of_names_and_keys_without_digits_are_candidates(text, value):
+    assert [text[a:b] for a, b in secrets.candidates(text)] == [value]
+
+
+def test_words_are_no_candidates_and_runs_in_values_stay():
+    assert secrets.candidates("Internationally authors: tokens, ---------------------- " + "a" * 50) == []
+    text = "?token=9f86d081884c7d659a2f&user=5 x"
+    assert [text[a:b] for a, b in secrets.candidates(text)] == ["9f86d081884c7d659a2f", "9f86d081884c7d659a2f&user=5"]
+
+
+def test_short_values_come_out_judged(spark):
+    rows = [(1, "password=Tr0ub4dor"), (2, "secret: correcthorsebattery"), (3, "pwd=x"), (4, "page 1234-5678-9012")]
+    got = secrets.scan(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.start, r.length) for r in got) == [(1, 9, 9), (2, 8, 19), (3, 4, 1), (4, 5, 14)]
