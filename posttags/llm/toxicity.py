@@ -24,8 +24,6 @@ from posttags.session import materialise
 
 # At most this many labelled rows propose words for voters.
 SAMPLE = 20_000
-# Voters mined from them, besides the fixed words and patterns; votes fit one 64-bit number.
-MINED = 48
 # Texts of each kind, by posterior, that the linear classifier is trained on at most.
 TRAIN_TOXIC, TRAIN_CLEAN = 3000, 5000
 BUCKETS = 1 << 16
@@ -68,6 +66,10 @@ class Voters:
     def __len__(self) -> int:
         return PATTERNS + len(self.lexicon)
 
+    def packed(self, text: str) -> bytes:
+        """The votes on a whole text, eight to a byte."""
+        return self.votes(text).to_bytes(-(-len(self) // 8), "little")
+
     def __getstate__(self):
         return {"lexicon": self.lexicon, "bit": self.bit, "_votes": {}, "_hashed": {}}
 
@@ -114,12 +116,12 @@ class Voters:
         return np.fromiter(hashed, np.int32, len(hashed))
 
 
-def mine(sample: DataFrame, most: int = MINED) -> tuple[list[str], float]:
+def mine(sample: DataFrame) -> tuple[list[str], float]:
     """Words and beginnings that mark label 1 in ``sample``, and the share of label 1.
 
     Tasks count documents per feature; features whose evidence exceeds what chance would
-    give the best of so many are ranked by it, those that occur in clean texts lower, and one
-    that begins a chosen one, or begins with it, adds nothing.
+    give the best of so many are all taken, in its order, those that occur in clean texts
+    later, but one that begins a chosen one, or begins with it, adds nothing.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,15 +158,12 @@ def mine(sample: DataFrame, most: int = MINED) -> tuple[list[str], float]:
         counted.withColumn("evidence", evidence)
         .where((precision >= 0.75) & (F.col("evidence") >= chance))
         .orderBy(F.desc(F.col("evidence") - CLEAN_COST * F.col("neg")), F.desc(F.length("name")), "name")
-        .limit(20 * most)
         .collect()
     )
     chosen: list[str] = []
     for row in ranked:
         stem = row.name.rstrip("*")
-        if len(chosen) < most and not any(
-            stem.startswith(c.rstrip("*")) or c.startswith(stem) for c in chosen
-        ):
+        if not any(stem.startswith(c.rstrip("*")) or c.startswith(stem) for c in chosen):
             chosen.append(row.name)
     return chosen, prior
 
@@ -180,7 +179,7 @@ class LabelModel:
     fires: np.ndarray  # 2 x voters: on clean, on toxic
     counts_for: np.ndarray  # 1, down to a half for voters that fire together with others
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
+    def posterior(self, votes: np.ndarray | list[bytes]) -> np.ndarray:
         """The chance that a text with these votes is toxic."""
         cast = unpacked(votes, len(self.counts_for))
         clean, toxic = self.fires
@@ -189,8 +188,12 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def unpacked(votes: np.ndarray, voters: int) -> np.ndarray:
-    return (votes[:, None] >> np.arange(voters) & 1).astype(float)
+def unpacked(votes: np.ndarray | list[bytes], voters: int) -> np.ndarray:
+    """A column for each voter, from numbers or from bytes as ``Voters.packed`` gives them."""
+    if isinstance(votes, np.ndarray) and votes.dtype != object:
+        return (votes[:, None] >> np.arange(voters) & 1).astype(float)
+    rows = np.frombuffer(b"".join(votes), np.uint8).reshape(len(votes), -(-voters // 8))
+    return np.unpackbits(rows, axis=1, count=voters, bitorder="little").astype(float)
 
 
 def fit_label_model(patterns: DataFrame, voters: int, prior: float) -> LabelModel:
@@ -215,15 +218,15 @@ def fit_label_model(patterns: DataFrame, voters: int, prior: float) -> LabelMode
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((2, 1 + size))
             for batch in batches:
-                votes, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                votes, n = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
                 cast, toxic = unpacked(votes, voters), model.posterior(votes)
                 for kind, share in enumerate((1 - toxic, toxic)):
                     weight = share * n
                     total[kind, 0] += weight.sum()
                     total[kind, 1:] += ((cast * weight[:, None]).T @ cast).ravel()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(total.size)), pa.array(total.ravel())], ["at", "value"]
-            )
+            total = total.ravel()
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "value"])
 
         return add
 
@@ -253,13 +256,13 @@ class Linear:
     bias: float
     votes: np.ndarray
 
-    def score(self, votes: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    def score(self, votes: list[bytes], features: list[np.ndarray]) -> np.ndarray:
         logit = self.bias + unpacked(votes, len(self.votes)) @ self.votes
         logit = logit + np.array([self.weights[f].sum(dtype=float) for f in features])
         return np.round(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 6)
 
 
-def train(votes: np.ndarray, features: list[np.ndarray], target: np.ndarray, weight: np.ndarray, voters: int) -> Linear:
+def train(votes: list[bytes], features: list[np.ndarray], target: np.ndarray, weight: np.ndarray, voters: int) -> Linear:
     """Logistic regression on posterior labels by full-batch gradients with momentum."""
     column = np.concatenate(features) if features else np.empty(0, np.int32)
     row = np.repeat(np.arange(len(features)), [len(f) for f in features])
@@ -292,17 +295,17 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, cut: float =
     sample = labelled_sample(docs, labels, "toxic", held_out, SAMPLE)
     mined, prior = mine(sample)
     fixed = [w for w in f"{INSULTS} {INSULTS_OTHER}".split() if not any(w.startswith(m.rstrip("*")) for m in mined)]
-    voters = Voters((mined + fixed)[: 62 - PATTERNS])
+    voters = Voters(mined + fixed)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [voters.votes(text) for text in batch.column(1).to_pylist()]
+            found = [voters.packed(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], ["doc_id", "votes"]
+                [batch.column(0), pa.array(found, pa.binary())], ["doc_id", "votes"]
             )
 
-    cast = materialise(rows.mapInArrow(vote, "doc_id long, votes long"), "votes")
+    cast = materialise(rows.mapInArrow(vote, "doc_id long, votes binary"), "votes")
     patterns = materialise(cast.groupBy("votes").agg(F.count("*").alias("n")), "vote-patterns")
     model = fit_label_model(patterns, len(voters), prior)
     linear = _train_on_posteriors(rows, cast, voters, model, held_out)
@@ -310,7 +313,7 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, cut: float =
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            votes = np.array([voters.votes(text) for text in texts], np.int64)
+            votes = [voters.packed(text) for text in texts]
             scores = linear.score(votes, [voters.features(text) for text in texts])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array((scores >= cut).astype(np.int32))],
@@ -327,10 +330,10 @@ def _train_on_posteriors(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic = model.posterior(batch.column(1).to_numpy())
+            toxic = model.posterior(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(toxic)], ["doc_id", "votes", "toxic"])
 
-    judged = cast.where(~held_out).mapInArrow(judge, "doc_id long, votes long, toxic double")
+    judged = cast.where(~held_out).mapInArrow(judge, "doc_id long, votes binary, toxic double")
     judged = materialise(judged.where("doc_id is not null"), "posteriors")
     parts = []
     for most, kind in ((TRAIN_TOXIC, F.col("toxic") >= 0.5), (TRAIN_CLEAN, F.col("toxic") < 0.5)):
@@ -348,10 +351,10 @@ def _train_on_posteriors(
             )
 
     texts = rows.join(chosen, "doc_id").select("doc_id", "text", "votes", "toxic", "weight")
-    texts = texts.mapInArrow(read, "doc_id long, votes long, toxic double, weight double, features binary")
+    texts = texts.mapInArrow(read, "doc_id long, votes binary, toxic double, weight double, features binary")
     found = texts.orderBy("doc_id", "votes").limit(TRAIN_TOXIC + TRAIN_CLEAN).collect()
     return train(
-        np.array([r.votes for r in found], np.int64),
+        [bytes(r.votes) for r in found],
         [np.frombuffer(r.features, np.int32) for r in found],
         np.array([r.toxic for r in found]), np.array([r.weight for r in found]), len(voters),
     )

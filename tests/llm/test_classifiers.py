@@ -135,3 +135,28 @@ def test_label_model_recovers_rates(spark):
         assert model.fires[0, at] < 0.03 and model.fires[1, at] > 0.15
     posterior = model.posterior(votes)
     assert posterior[truth & (votes != 1)].mean() > 0.6 and posterior[~truth].mean() < 0.1
+
+
+def test_all_mined_and_fixed_words_vote(spark):
+    """Seventy words are mined; the last fixed word still turns a text."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdelmnor") for _ in range(rnd.randint(2, 7))) for _ in range(200)]
+    marks = [x + y + "zzz" for x in "abcdefg" for y in "qwtyuipsfj"]
+    rows, labels = [], []
+    for i in range(3000):
+        text, rude = [rnd.choice(words) for _ in range(30)], i % 3 == 0
+        if rude:
+            text[::10] = rnd.sample(marks, 3)
+        elif i % 50 == 1:
+            text[::10] = ["inútil", "wertlos", "ordure"]
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(rude)))
+    unlabelled = {i for i in range(3000) if i % 50 == 1 and i % 3}
+    marked = labelled(spark, [x for x in labels if x[0] not in unlabelled])
+    docs = table(spark, rows)
+    mined, _ = toxicity.mine(toxicity.labelled_sample(docs, marked, "toxic", never(), toxicity.SAMPLE))
+    assert {m.rstrip("*")[:3] for m in mined} >= {m[:3] for m in marks}
+    got = as_dict(toxicity.classify(docs, marked, never()))
+    assert np.mean([got[i].predicted for i in unlabelled]) > 0.9
+    assert np.mean([got[i].predicted for i, _, t in labels if t]) > 0.97
+    assert np.mean([got[i].predicted for i, _, t in labels if not t and i not in unlabelled]) < 0.03
