@@ -6,6 +6,7 @@ other, shifted round by one place more for each coordinate, ranks them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +22,9 @@ from posttags.session import materialise
 # 32 bands of 4 rows propose a pair at similarity 0.75 except once in 190,000.
 BANDS, ROWS = 32, 4
 SIMILAR = 75  # per cent
-# Similarity that signatures of 128 coordinates must show before whole sets are compared, in
-# buckets whose first comparison left them apart: 4 standard errors below the threshold.
-PROMISING = 0.60
+# Chance at most that a link at the threshold shows too few equal coordinates for its whole sets
+# to be compared, in buckets whose first comparison left them apart: that of the bands.
+ESCAPES = 1 / 190_000
 # Share of the members still apart that must join for another round of best partners.
 JOINING = 0.2
 # Members of a bucket compared with each other in one task.
@@ -47,6 +48,16 @@ def signature(shingles: np.ndarray, coordinates: int = BANDS * ROWS) -> np.ndarr
     return least
 
 
+def promising(similar: int, coordinates: int = BANDS * ROWS) -> int:
+    """Equal coordinates that a link at ``similar`` per cent has, but for ESCAPES of all."""
+    share, below = similar / 100, 0.0
+    for equal in range(coordinates + 1):
+        below += math.comb(coordinates, equal) * share**equal * (1 - share) ** (coordinates - equal)
+        if below > ESCAPES:
+            return equal
+    return coordinates
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_id, signature`` of each row; the last two null for empty sets.
 
@@ -122,7 +133,7 @@ def cross_pairs(
 
     ``members`` has ``key, band, doc_id, component, n_shingles, signature``. A bucket is dealt
     into tiles, each pair of tiles is one task's work, and only pairs whose signatures agree
-    on PROMISING of the coordinates are looked at. With ``best`` the most promising partner of
+    on ``promising`` coordinates are looked at. With ``best`` the most promising partner of
     each member comes out, to be verified. Without, ``members`` also has ``shingles``: pairs
     are verified in place, each in its first common band alone, and only links come out.
     """
@@ -151,9 +162,9 @@ def cross_pairs(
             near = right if first[i] and len(right) else left
             near = near[parts[near] != parts[i]]
             small, large = np.minimum(sizes[near], sizes[i]), np.maximum(sizes[near], sizes[i])
-            near = near[100 * small >= SIMILAR * large]
+            near = near[100 * small >= similar * large]
             equal = (rows[near] == rows[i]).sum(axis=1)
-            hit = equal >= PROMISING * rows.shape[1]
+            hit = equal >= promising(similar, rows.shape[1])
             near, equal = near[hit], equal[hit]
             if best and len(near):
                 top = np.lexsort((ids[near], -equal))[:1]
@@ -235,7 +246,7 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR, tile: int = TILE) -
     tested, best = first, True
     while best:
         members = _still_apart(stars, classes, components(links))
-        pairs = cross_pairs(members, True, tile).join(tested, ["a", "b"], "left_anti")
+        pairs = cross_pairs(members, True, tile, similar).join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "cross-pairs")
         more = materialise(verified(pairs, sets, similar), "verified")
         tested, links = tested.unionByName(pairs), links.unionByName(more)

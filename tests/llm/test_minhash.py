@@ -1,3 +1,4 @@
+import math
 import random
 import string
 from itertools import combinations
@@ -112,3 +113,11 @@ def test_components(spark):
     want = classes(nodes, [p for p in links if p[0] != p[1]])
     assert {n: r.component for n, r in got.items()} == want
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_promising_loses_no_more_links_than_the_bands():
+    """At each threshold the binomial tail stays under the chance of the bands at 0.75."""
+    for similar in (50, 75, 90):
+        share, least = similar / 100, minhash.promising(similar)
+        tail = sum(math.comb(128, k) * share**k * (1 - share) ** (128 - k) for k in range(least))
+        assert tail <= 1 / 190_000 and least < 128 * share
