@@ -13,6 +13,7 @@ from posttags.llm import (
     minhash,
     packing,
     quality,
+    quality_rules,
     secrets,
     sharding,
     suffix_dedup,
@@ -88,6 +89,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", remainder(4, 2).alias("held_out"), "score", "predicted")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality_rules.ledger(_table(spark, sf_dir, "documents"))
+    return quality_rules.judge(entries, quality_rules.POLICIES[-1]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "failed",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secrets": op2_secrets,
@@ -99,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 _LOW = """translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
@@ -172,6 +182,49 @@ def _url_oracle() -> str:
     """
 
 
+def _rules_oracle() -> str:
+    """Each measure, the failure bits, and the current policy."""
+    rules = quality_rules.RULES
+    failed = " + ".join(
+        f"CASE WHEN {rule.times} * {rule.measure} > {rule.most} * {rule.base or 1} THEN {1 << at} ELSE 0 END"
+        for at, rule in enumerate(rules)
+    )
+    policy = quality_rules.POLICIES[-1]
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (
+            SELECT *, list_filter(string_split_regex(t, '[ \\t-\\r]+'), lambda x: x <> '') AS ws,
+                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls
+            FROM d),
+        windows AS (
+            SELECT r, unnest(generate_series(1, len(ws) - 2)) AS i, ws FROM w WHERE len(ws) > 2),
+        again AS (
+            SELECT r, i FROM (
+                SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(ws[i:i + 2], ' ')) AS n FROM windows)
+            WHERE n > 1),
+        covered AS (
+            SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r),
+        m AS (
+            SELECT doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars,
+                   len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+                   coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines,
+                   len(list_filter(ws, lambda x: NOT regexp_matches(x, '\\p{{L}}'))) AS n_letterless,
+                   len(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS n_capitals,
+                   len(regexp_replace(t, '[^!]', '', 'g')) AS n_exclamations,
+                   len(list_filter(ls, lambda x: regexp_matches(x, '^[ \\t]*[-*•]'))) AS n_bullets,
+                   len(list_filter(ls, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[ \\t\\r]*$'))) AS n_cut_lines,
+                   coalesce(list_max(list_transform(ws, lambda x: len(x))), 0) AS longest_word
+            FROM w LEFT JOIN covered USING (r)),
+        f AS (SELECT *, CAST({failed} AS BIGINT) AS failed FROM m),
+        b AS (SELECT *, failed & {quality_rules.BASE} <> 0 AS base_failed FROM f)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR failed & {policy.fatal} <> 0
+                    OR bit_count(failed & {policy.soft}) > {policy.allowed}) AS kept, failed
+        FROM b
+    """
+
+
 ORACLE = {
     "op1_exact_dedup": """
         WITH t AS (
@@ -230,4 +283,5 @@ ORACLE = {
         FROM s JOIN reach r ON s.doc_id = r.doc_id GROUP BY s.doc_id
     """,
     "op8_url_filter": _url_oracle(),
+    "op11_quality_rules": _rules_oracle(),
 }
