@@ -12,6 +12,7 @@ from posttags.llm import (
     exact_dedup,
     minhash,
     packing,
+    periodic_runs,
     quality,
     quality_rules,
     secrets,
@@ -97,6 +98,16 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    tail = F.floor(number / 10), number % 10 == 0
+    found = periodic_runs.find_runs(_table(spark, sf_dir, "documents"), tail)
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+        "collapsed_sha256", "n_words",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secrets": op2_secrets,
@@ -109,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
     "op11_quality_rules": op11_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _LOW = """translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
