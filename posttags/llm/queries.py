@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from posttags.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     minhash,
@@ -108,6 +109,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secrets": op2_secrets,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_quality_rules": op11_quality_rules,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
 _LOW = """translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
@@ -296,4 +302,40 @@ ORACLE = {
     """,
     "op8_url_filter": _url_oracle(),
     "op11_quality_rules": _rules_oracle(),
+    "op13_collocations": f"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex({_LOW.format("coalesce(text, '')")}, '[.,;:!?\\n\\x0B\\f\\r]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS ws FROM p),
+        s AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM w),
+        g AS (SELECT lang, ws, i, unnest(generate_series(1, least(5, len(ws) - i + 1))) AS size FROM s),
+        f AS (
+            SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase, count(*) AS f
+            FROM g GROUP BY ALL),
+        totals AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+        often AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE f >= 100),
+        cuts AS (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM often WHERE size > 1),
+        scored AS (
+            SELECT c.lang, c.phrase, c.size, c.f AS a, c.k, x.f AS l, y.f AS r, t.n,
+                   (1000::HUGEINT * c.f::HUGEINT * t.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+            FROM cuts c JOIN totals t ON t.lang = c.lang
+            JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[:c.k], ' ')
+            JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:], ' ')),
+        best AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (SELECT lang, size, f, ws, unnest(generate_series(2, size - 1)) AS m FROM often WHERE size > 2),
+        inside AS (
+            SELECT DISTINCT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, f
+            FROM (SELECT *, unnest(generate_series(1, size - m + 1)) AS i FROM longer)),
+        kept AS (
+            SELECT * FROM best b WHERE NOT EXISTS (
+                SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.f >= 100 * b.a)),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score,
+               CAST(size AS INTEGER) AS size
+        FROM ranked WHERE rank <= 2000
+    """,
 }
