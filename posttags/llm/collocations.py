@@ -28,8 +28,8 @@ from posttags.session import materialise
 
 LONGEST = 5
 # Windows a trie holds before it spills, words it numbers, and windows of a container that bursts.
-HELD, NUMBERED, BURST = 400_000, 1_000_000, 1_024
-# Words of a piece that are counted before the trie may spill.
+HELD, NUMBERED, BURST = 400_000, 1_000_000, 16_384
+# Words of a text that are counted before the trie may spill.
 SLICE = 50_000
 # Windows a part of the shuffle should merge, and sampled windows for each splitter.
 PART, PER_SPLITTER = 1_500_000, 20
@@ -41,18 +41,16 @@ BITS_EACH, MOST_BITS = 16, 1 << 28
 _BLOCK = 1 << 16  # bits of the bitmap put together by one task
 
 _LOWER, _BREAKS = bytes(range(65, 91)), b".,;:!?\n\x0b\x0c\r"
-_SIGNS = bytes.maketrans(_LOWER + _BREAKS + b"\t", _LOWER.lower() + b"\n" * len(_BREAKS) + b" ")
-_RARE = bytes(4)
+_BREAK = b"\xff"  # no UTF-8 text has this byte
+_SIGNS = bytes.maketrans(_LOWER + _BREAKS + b"\t", _LOWER.lower() + _BREAK * len(_BREAKS) + b" ")
+_RARE = b""
 
 Phrase = tuple[bytes, ...]
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece between breaks, A-Z lower-cased."""
-    for piece in text.translate(_SIGNS).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield words
+def tokens(text: bytes) -> list[bytes]:
+    """The words of a text, A-Z lower-cased, and a BREAK where a piece ends."""
+    return text.translate(_SIGNS).replace(_BREAK, b" \xff ").split()
 
 
 def texts_of(docs: DataFrame, undetermined: str = "und") -> DataFrame:
@@ -64,29 +62,21 @@ def texts_of(docs: DataFrame, undetermined: str = "und") -> DataFrame:
 def word_counts(texts: DataFrame) -> DataFrame:
     """``lang, word, n`` of all words."""
 
-    def emit(counts: Counter) -> pa.RecordBatch:
-        langs, words = zip(*counts) if counts else ((), ())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(langs, pa.string()), pa.array(words, pa.binary()),
-                pa.array(list(counts.values()), pa.int64()),
-            ],
-            ["lang", "word", "n"],
-        )
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, counts in held.items():
-                yield emit(Counter({(lang, word): n for word, n in counts.items()}))
+                del counts[_BREAK]
+                words = pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())
+                names = pa.array([lang]).take(pa.array([0] * len(counts), pa.int32()))
+                yield pa.RecordBatch.from_arrays([names, *words], ["lang", "word", "n"])
             held.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 counts = held.setdefault(lang, Counter())
-                for words in pieces(text.as_py()):
-                    counts.update(words)
+                counts.update(tokens(text.as_py()))
                 if len(counts) > NUMBERED:
                     yield from flush()
         yield from flush()
@@ -132,10 +122,26 @@ class _Node(dict):
     ends: int
 
 
+class _Numbers(dict):
+    """The id of each word of a language, four bytes; RARE for rare words and breaks."""
+
+    def __init__(self, lang: str, words: list[tuple[str, bytes]], bitmap: Bitmap):
+        self.lang, self.words, self.bitmap = lang, words, bitmap
+        self[_BREAK] = _RARE
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = _RARE
+        if self.bitmap.may_hold(self.lang, word):
+            found = len(self.words).to_bytes(4, "little")
+            self.words.append((self.lang, word))
+        self[word] = found
+        return found
+
+
 class HatTrie:
     """Counts windows; containers are dicts from the ids left of a window to its count.
 
-    An id is four bytes. Ids are numbered by the task: runs hold the words themselves.
+    Ids are numbered by the task: runs hold the words themselves.
     """
 
     def __init__(self, bitmap: Bitmap, burst: int = BURST):
@@ -144,59 +150,61 @@ class HatTrie:
 
     def clear(self) -> None:
         self.root: dict[bytes, dict] = {}
-        self.numbers: dict[str, dict[bytes, bytes]] = {}
+        self.numbers: dict[str, _Numbers] = {}
         self.words: list[tuple[str, bytes]] = [("", b"")]
-        self.entries = self.numbered = 0
-
-    def _number(self, lang: str, word: bytes) -> bytes:
-        self.numbered += 1
-        if not self.bitmap.may_hold(lang, word):
-            return _RARE
-        self.words.append((lang, word))
-        return (len(self.words) - 1).to_bytes(4, "little")
+        self.entries = 0
 
     def add(self, lang: str, words: list[bytes], starts: int) -> None:
         """Count the windows of two words or more that begin at the first ``starts`` words."""
-        numbers, ids = self.numbers.setdefault(lang, {}), []
-        for word in words:
-            number = numbers.get(word)
-            if number is None:
-                number = numbers[word] = self._number(lang, word)
-            ids.append(number)
-        if _RARE not in ids:
-            self._count(b"".join(ids), starts)
-            return
-        start = 0
-        for at, number in enumerate(ids):
-            if number == _RARE:
-                self._count(b"".join(ids[start:at]), starts - start)
-                start = at + 1
-        self._count(b"".join(ids[start:]), starts - start)
-
-    def _count(self, ids: bytes, starts: int) -> None:
-        root, end = self.root, len(ids)
-        for at in range(0, min(4 * starts, end - 4), 4):
-            stop, place = at + 4 * LONGEST, at + 4
-            above, key = root, ids[at:place]
-            box = root.get(key)
-            while type(box) is _Node:
-                if place == stop or place >= end:
-                    box.ends += 1
-                    break
-                above, key = box, ids[place : place + 4]
-                box, place = box.get(key), place + 4
-            else:
+        numbers = self.numbers.get(lang)
+        if numbers is None:
+            numbers = self.numbers[lang] = _Numbers(lang, self.words, self.bitmap)
+        ids = list(map(numbers.__getitem__, words))
+        start, segments = 0, []
+        for _ in range(ids.count(_RARE)):
+            at = ids.index(_RARE, start)
+            if at > start + 1:
+                segments.append((b"".join(ids[start:at]), 4 * (starts - start)))
+            start = at + 1
+        if len(ids) > start + 1:
+            segments.append((b"".join(ids[start:]), 4 * (starts - start)))
+        self._count(segments)
+
+    def numbered(self) -> int:
+        return sum(map(len, self.numbers.values()))
+
+    def _count(self, segments: list[tuple[bytes, int]]) -> None:
+        root, burst, new, width = self.root, self.burst, 0, 4 * LONGEST
+        for ids, starts in segments:
+            end = len(ids)
+            for at in range(0, min(starts, end - 4), 4):
+                place = at + 4
+                above, key = root, ids[at:place]
+                box = root.get(key)
                 if box is None:
-                    box = above[key] = {}
-                left = ids[place:stop]
+                    root[key] = {ids[place : at + width]: 1}
+                    new += 1
+                    continue
+                if type(box) is _Node:
+                    stop = min(at + width, end)
+                    while type(box) is _Node and place < stop:
+                        above, key = box, ids[place : place + 4]
+                        box, place = box.get(key), place + 4
+                    if type(box) is _Node:
+                        box.ends += 1
+                        continue
+                    if box is None:
+                        box = above[key] = {}
+                left = ids[place : at + width]
                 seen = box.get(left)
                 if seen:
                     box[left] = seen + 1
                     continue
                 box[left] = 1
-                self.entries += 1
-                if len(box) > self.burst and place < stop:
+                new += 1
+                if len(box) > burst and place < at + width:
                     above[key] = self._burst(box)
+        self.entries += new
 
     @staticmethod
     def _burst(box: dict[bytes, int]) -> _Node:
@@ -210,32 +218,35 @@ class HatTrie:
                 node.setdefault(left[:4], {})[left[4:]] = n
         return node
 
-    def _windows(self, box: dict, prefix: bytes) -> Iterator[tuple[bytes, int]]:
+    def _take(self, box: dict, prefix: bytes, windows: list[bytes], counts: list[int]) -> None:
+        """Adds all windows of a subtree, filled up to the full width."""
         if type(box) is not _Node:
-            for left, n in box.items():
-                yield prefix + left, n
+            windows += [(prefix + left).ljust(4 * LONGEST, b"\0") for left in box]
+            counts += box.values()
             return
         if box.ends:
-            yield prefix, box.ends
+            windows.append(prefix.ljust(4 * LONGEST, b"\0"))
+            counts.append(box.ends)
         for key, child in box.items():
-            yield from self._windows(child, prefix + key)
+            self._take(child, prefix + key, windows, counts)
 
     def _size(self, box: dict) -> int:
         return sum(map(self._size, box.values())) + 1 if type(box) is _Node else len(box)
 
     def spill(self, keep: float) -> tuple[np.ndarray, np.ndarray]:
         """Takes out the largest subtrees until a share ``keep`` is left: ids and counts of windows."""
-        sizes = sorted(((self._size(box), key) for key, box in self.root.items()), reverse=True)
-        left, goal, taken = sum(size for size, _ in sizes), self.entries * keep, []
-        for size, key in sizes:
-            if left <= goal:
-                break
-            taken += self._windows(self.root.pop(key), key)
-            left -= size
-        self.entries = left
-        ids = b"".join(window.ljust(4 * LONGEST, b"\0") for window, _ in taken)
-        counts = np.fromiter((n for _, n in taken), np.int64, len(taken))
-        return np.frombuffer(ids, "<u4").reshape(-1, LONGEST), counts
+        keys, boxes = list(self.root), self.root.values()
+        sizes = np.array([len(box) if type(box) is dict else self._size(box) for box in boxes], np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        left = int(sizes.sum())
+        after = left - np.cumsum(sizes[order])
+        taken = np.searchsorted(-after, -self.entries * keep) + 1 if left else 0
+        windows: list[bytes] = []
+        counts: list[int] = []
+        for at in order[:taken].tolist():
+            self._take(self.root.pop(keys[at]), keys[at], windows, counts)
+        self.entries = int(after[taken - 1]) if 0 < taken <= len(after) else 0
+        return np.frombuffer(b"".join(windows), "<u4").reshape(-1, LONGEST), np.array(counts, np.int64)
 
 
 def _pack(words: list[bytes], windows: np.ndarray, counts: np.ndarray) -> bytes:
@@ -286,17 +297,21 @@ def _runs(trie: HatTrie, keep: float, splitters: dict[str, list[Phrase]], offset
     """Rows ``part, lang, run`` of what the trie spills."""
     ids, counts = trie.spill(keep)
     rows: list[tuple[int, str, bytes]] = []
-    langs = np.array([trie.words[i][0] for i in ids[:, 0].tolist()], object)
-    for lang in sorted(set(langs.tolist())):
-        mine = np.flatnonzero(langs == lang)
-        used, place = np.unique(ids[mine], return_inverse=True)
-        named = [trie.words[i][1] for i in used.tolist()]
-        rank = np.empty(len(used), np.int64)
-        rank[sorted(range(len(used)), key=named.__getitem__)] = np.arange(len(used)) + (used[0] != 0)
-        named.sort()
-        if used[0] == 0:  # the place of none, whose empty name sorts first
-            del named[0]
-        windows = rank[place.reshape(-1, LONGEST)]
+    names = sorted(trie.numbers)
+    number = {lang: at for at, lang in enumerate(names)}
+    langs = np.array([number.get(lang, -1) for lang, _ in trie.words])[ids[:, 0]]
+    for lang in names:
+        mine = np.flatnonzero(langs == number[lang])
+        if not len(mine):
+            continue
+        windows = ids[mine]
+        seen = np.zeros(len(trie.words), bool)
+        seen[windows.ravel()] = True
+        seen[0] = False
+        used = sorted(((trie.words[i][1], i) for i in np.flatnonzero(seen).tolist()))
+        named, place = [word for word, _ in used], np.zeros(len(seen), np.int64)
+        place[[i for _, i in used]] = np.arange(1, len(used) + 1)
+        windows = place[windows]
         order = _order(windows, len(named))
         windows, n = windows[order], counts[mine][order]
         part = _cuts(windows, named, splitters.get(lang, []))
@@ -304,8 +319,9 @@ def _runs(trie: HatTrie, keep: float, splitters: dict[str, list[Phrase]], offset
             here = windows[start:stop]
             own = np.unique(here)
             own = own[own > 0]
-            local = np.searchsorted(own, here, side="right")
-            load = _pack([named[i - 1] for i in own.tolist()], local, n[start:stop])
+            local = np.zeros(own[-1] + 1, np.int64)
+            local[own] = np.arange(1, len(own) + 1)
+            load = _pack([named[i - 1] for i in own.tolist()], local[here], n[start:stop])
             rows.append((offsets.get(lang, 0) + int(part[start]), lang, load))
     columns = list(zip(*rows)) or [(), (), ()]
     kinds = pa.int32(), pa.string(), pa.binary()
@@ -357,23 +373,31 @@ def merged(runs: list[bytes], edges: set[Phrase], least: int) -> tuple[list[Phra
     return phrases, totals
 
 
-def _sample_windows(texts: DataFrame, bitmap: Bitmap, rows: int, windows: int) -> list[tuple[str, Phrase]]:
-    """About ``windows`` windows of about ``rows`` documents, chosen by hash, sorted."""
-    total = texts.count()
-    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(max(1, total))) < rows)
+def _sample_windows(texts: DataFrame, words: int, bitmap: Bitmap, windows: int) -> list[tuple[str, Phrase]]:
+    """At most ``windows`` windows of about SAMPLED_DOCS documents, chosen by hash, sorted.
+
+    ``words`` is the number of all words; one window in every so many of a text is looked at.
+    """
+    total = max(1, texts.count())
+    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(total)) < SAMPLED_DOCS)
+    step = max(1, int(words * min(1, SAMPLED_DOCS / total)) // (4 * windows))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, found, hashes = [], [], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for words in pieces(text.as_py()):
-                    cut = [at for at, word in enumerate(words) if not bitmap.may_hold(lang, word)]
-                    for start, stop in zip([0, *[at + 1 for at in cut]], [*cut, len(words)]):
-                        for at in range(start, stop - 1):
-                            window = b" ".join(words[at : min(at + LONGEST, stop)])
-                            langs.append(lang)
-                            found.append(window)
-                            hashes.append(zlib.crc32(window + b"%d" % len(found)))
+                data = text.as_py()
+                parts = tokens(data)
+                for at in range(zlib.crc32(data) % step, len(parts), step):
+                    window = []
+                    for word in parts[at : at + LONGEST]:
+                        if word == _BREAK or not bitmap.may_hold(lang, word):
+                            break
+                        window.append(word)
+                    if len(window) > 1:
+                        langs.append(lang)
+                        found.append(b" ".join(window))
+                        hashes.append(zlib.crc32(found[-1] + b"%d" % at))
             arrays = [pa.array(langs, pa.string()), pa.array(found, pa.binary()), pa.array(hashes, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["lang", "window", "hash"])
 
@@ -392,7 +416,7 @@ def phrase_counts(texts: DataFrame, words: DataFrame, least: int, part: int = PA
     known = frequent.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     bitmap = Bitmap(frequent, known.words)
     wanted = max(1, -(-known.n // part))
-    sample = _sample_windows(texts, bitmap, SAMPLED_DOCS, min(SAMPLED, PER_SPLITTER * wanted))
+    sample = _sample_windows(texts, known.n, bitmap, min(SAMPLED, PER_SPLITTER * wanted))
     chosen = sorted({sample[len(sample) * i // wanted] for i in range(1, wanted)}) if sample else []
     splitters: dict[str, list[Phrase]] = {}
     for lang, phrase in chosen:
@@ -406,14 +430,14 @@ def phrase_counts(texts: DataFrame, words: DataFrame, least: int, part: int = PA
         trie = HatTrie(bitmap)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for words in pieces(text.as_py()):
-                    for at in range(0, len(words), SLICE):
-                        trie.add(lang, words[at : at + SLICE + LONGEST - 1], SLICE)
-                        if trie.numbered > NUMBERED:
-                            yield _runs(trie, 0, splitters, offsets)
-                            trie.clear()
-                        elif trie.entries > HELD:
-                            yield _runs(trie, 0.5, splitters, offsets)
+                words = tokens(text.as_py())
+                for at in range(0, len(words), SLICE):
+                    trie.add(lang, words[at : at + SLICE + LONGEST - 1], SLICE)
+                    if trie.entries > HELD:
+                        yield _runs(trie, 0.5, splitters, offsets)
+                if trie.numbered() > NUMBERED:
+                    yield _runs(trie, 0, splitters, offsets)
+                    trie.clear()
         yield _runs(trie, 0, splitters, offsets)
 
     def merge(group: pa.Table) -> pa.Table:
