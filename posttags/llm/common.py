@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A key holding at least this share of all rows is hot, so there are at most HOT_SHARE of them.
@@ -36,3 +39,36 @@ def join_hot(
     cold = table.where(F.col(size) * share < total)
     kept = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
     return rows.join(F.broadcast(hot), key).unionByName(kept.join(cold, key))
+
+
+def few(column: pa.Array, at_once: int = 256) -> Iterator:
+    """The values of an Arrow column as Python objects, not all of them at the same time."""
+    for at in range(0, len(column), at_once):
+        yield from column.slice(at, at_once).to_pylist()
+
+
+def lean(
+    task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], forget: Callable[[], None] | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``task``, giving its memory back when it ends: workers live on and are used by later stages.
+
+    ``forget`` empties what the worker remembers.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            if forget:
+                forget()
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Return free memory to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

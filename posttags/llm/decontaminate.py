@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from posttags.llm.common import whole_text
+from posttags.llm.common import few, lean, whole_text
 from posttags.llm.shingles import word_hashes
 from posttags.session import materialise
 
@@ -229,7 +229,7 @@ def _leaks_of(rows: DataFrame, items: DataFrame, leak: float) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, ids, docs, size = [], [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), few(batch.column(1))):
                 ids.append(doc_id)
                 docs.append(index.numbered(text))
                 size += len(docs[-1])
@@ -246,5 +246,5 @@ def _leaks_of(rows: DataFrame, items: DataFrame, leak: float) -> DataFrame:
             )
 
     return rows.mapInArrow(
-        find, "doc_id long, item_id long, score double, start_word long, n_words long"
+        lean(find), "doc_id long, item_id long, score double, start_word long, n_words long"
     )

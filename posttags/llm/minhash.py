@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from posttags.llm.common import join_hot, whole_text
+from posttags.llm.common import few, join_hot, lean, whole_text
 from posttags.llm.components import components
 from posttags.llm.shingles import WIDTH, shingle_set
 from posttags.session import materialise
@@ -67,7 +67,7 @@ def signed(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids, signatures = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in few(batch.column(1)):
                 shingles = shingle_set(text)
                 sizes.append(len(shingles))
                 ids.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
@@ -81,7 +81,7 @@ def signed(docs: DataFrame) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, set_id binary, signature binary")
+    return rows.mapInArrow(lean(sign), "doc_id long, n_shingles long, set_id binary, signature binary")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -89,13 +89,13 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(text).tobytes() for text in batch.column(1).to_pylist()]
+            found = [shingle_set(text).tobytes() for text in few(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.binary())], ["doc_id", "shingles"]
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(sets, "doc_id long, shingles binary")
+    return rows.mapInArrow(lean(sets), "doc_id long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame:

@@ -15,13 +15,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from posttags.llm.common import whole_text
+from posttags.llm.common import few, give_back, lean, whole_text
 
 # Hashed terms: word shapes and marks of the whole text, then words.
 SHAPES, WORDS = 1024, 8192
 TERMS = SHAPES + WORDS
 # At most this many labelled rows are learnt from, spread over the labelled rows by hash.
-SAMPLE = 2000
+SAMPLE = 3000
 DIMENSIONS, NEIGHBOURS = 64, 15
 REMEMBER = 500_000
 BLOCK = 512
@@ -53,6 +53,10 @@ class _Terms(dict):
 _TERMS = _Terms()
 
 
+def forget() -> None:
+    _TERMS.clear()
+
+
 def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The terms of a whole text and how often each occurs."""
     words = text.split()
@@ -75,13 +79,13 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(TERMS + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in few(batch.column(0)):
                 seen[term_counts(text)[0]] += 1
             seen[TERMS] += batch.num_rows
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["term", "n"])
 
-    rows = docs.select(whole_text().alias("text")).mapInArrow(count, "term long, n long")
+    rows = docs.select(whole_text().alias("text")).mapInArrow(lean(count, forget), "term long, n long")
     counts = np.zeros(TERMS + 1, np.int64)
     for row in rows.groupBy("term").agg(F.sum("n").alias("n")).collect():
         counts[row.term] = row.n
@@ -138,6 +142,26 @@ class Model:
             scores[at : at + BLOCK] = np.where(total > 0, share, prior)
         return np.round(scores, 6)
 
+    def score_column(self, texts: pa.Array) -> np.ndarray:
+        """``score`` of an Arrow column, a block of texts at a time; nulls are empty."""
+        found = [np.empty(0)]
+        for at in range(0, len(texts), BLOCK):
+            found.append(self.score([text or "" for text in texts.slice(at, BLOCK).to_pylist()]))
+        return np.concatenate(found)
+
+
+def _leading(products: np.ndarray, most: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """The greatest eigenvalues and their vectors, by iterating a subspace somewhat larger than ``most``.
+
+    A full decomposition would take several times the memory of ``products``.
+    """
+    width = min(len(products), most + 32)
+    space = np.random.default_rng(5).standard_normal((len(products), width)).astype(products.dtype)
+    for _ in range(rounds if width else 0):
+        space = np.linalg.qr(products @ space)[0]
+    values, inner = np.linalg.eigh(space.T @ products @ space) if width else (np.empty(0), np.empty((0, 0)))
+    return values, space @ inner
+
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality") -> Model:
     """Fit on a labelled sample of at most SAMPLE rows, with term weights from all ``docs``."""
@@ -146,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "qual
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [term_counts(text) for text in batch.column(1).to_pylist()]
+            found = [term_counts(text) for text in few(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(2),
@@ -158,21 +182,38 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "qual
 
     sample = labelled_sample(docs, labels, label, held_out, SAMPLE).select("doc_id", "text", "label")
     sample = sample.withColumn("label", F.col("label").cast("long"))
-    rows = sample.mapInArrow(terms, "doc_id long, label long, terms binary, counts binary")
+    rows = sample.mapInArrow(lean(terms, forget), "doc_id long, label long, terms binary, counts binary")
     rows = rows.orderBy("doc_id", "label").limit(SAMPLE).collect()
-    matrix = np.zeros((len(rows), TERMS), np.float32)
-    for at, row in enumerate(rows):
-        terms, counts = (np.frombuffer(load, "<i4") for load in (row.terms, row.counts))
-        matrix[at, terms] = (1 + np.log(counts)) * weights[terms]
+    loads = [(np.frombuffer(r.terms, "<i4"), np.frombuffer(r.counts, "<i4")) for r in rows]
     found = np.array([row.label for row in rows], float)
-    del rows  # the driver holds one matrix of the sample at a time
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
+
+    def block(at: int) -> np.ndarray:
+        """Some unit rows of the sample; the driver never holds all of them."""
+        out = np.zeros((len(loads[at : at + BLOCK]), TERMS), np.float32)
+        for row, (terms, counts) in zip(out, loads[at : at + BLOCK]):
+            row[terms] = (1 + np.log(counts)) * weights[terms]
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
     # singular directions by way of the rows' products, which are fewer than the terms
-    values, vectors = np.linalg.eigh(matrix @ matrix.T) if len(found) else (found, np.empty((0, 0)))
+    starts = range(0, len(loads), BLOCK)
+    products = np.zeros((len(loads), len(loads)), np.float32)
+    for at in starts:
+        left = block(at)
+        for other in range(0, at + 1, BLOCK):
+            part = left @ (left if other == at else block(other)).T
+            products[at : at + BLOCK, other : other + BLOCK] = part
+            products[other : other + BLOCK, at : at + BLOCK] = part.T
+    values, vectors = _leading(products, DIMENSIONS)
+    del products
     lead = [i for i in np.argsort(-values)[:DIMENSIONS] if values[i] > 1e-6]
-    directions = (matrix.T @ vectors[:, lead]) / np.sqrt(values[lead]) if lead else np.zeros((TERMS, 1))
-    latent = matrix @ directions
+    vectors = vectors[:, lead] / np.sqrt(values[lead]) if lead else np.zeros((len(loads), 1), np.float32)
+    directions = np.zeros((TERMS, vectors.shape[1]), np.float32)
+    for at in starts:
+        directions += block(at).T @ vectors[at : at + BLOCK].astype(np.float32)
+    latent = np.concatenate([block(at) @ directions for at in starts] or [np.zeros((0, directions.shape[1]), np.float32)])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+    del loads, rows
+    give_back()
     return Model(
         weights.astype(np.float32), directions.astype(np.float32), latent.astype(np.float32),
         found,
@@ -184,14 +225,14 @@ def scored(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.score(batch.column(1).to_pylist())
+            scores = model.score_column(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array((scores >= cut).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(score, "doc_id long, score double, predicted int")
+    return rows.mapInArrow(lean(score, forget), "doc_id long, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
@@ -200,10 +241,10 @@ def keep_good(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text or "" for text in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array(model.score(texts) >= cut, pa.bool_()))
+            scores = model.score_column(batch.column(place))
+            yield batch.filter(pa.array(scores >= cut, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep, forget), docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column, cut: float = 0.5) -> DataFrame:

@@ -86,8 +86,34 @@ def test_stages(spark, folder):
     assert whole.columns == packing.PIECE + ["sequence_id", "offset"] and whole.count() == len(pieces)
 
 
+def test_rows_without_or_with_shared_ids_are_judged_one_by_one(spark, folder):
+    """Null ids, a row given twice, one id with two texts, and a clashing column."""
+    path, items, _ = folder
+    one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    near = one.replace("a7", "other")
+    leak = "before it " + items[2][1] + " after it"
+    rows = [
+        (None, one), (None, one), (None, leak), (7, two), (7, two), (8, one), (8, "a text of its own"),
+        (9, near), (None, "another text without id"), (10, leak + " once more"),
+    ]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, row string")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def texts(frame):
+        assert frame.columns == docs.columns
+        return sorted(((r.text, r.doc_id) for r in frame.collect()), key=repr)
+
+    kept = texts(stages["exact dedup"](spark, docs, path))
+    assert sorted(t for t, _ in kept) == sorted({t for _, t in rows})
+    kept = texts(stages["near dedup"](spark, docs, path))
+    assert len(kept) == len({t for _, t in rows}) - 1 - 1  # one of ``one`` and ``near``, one of the leaks
+    assert ("a text of its own", 8) in kept and ("another text without id", None) in kept
+    kept = texts(stages["decontamination"](spark, docs, path))
+    assert sorted(t for t, _ in kept) == sorted(t for _, t in rows if items[2][1] not in t)
+
+
 def test_every_operator_is_registered_once():
     names = list(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
