@@ -90,7 +90,7 @@ def test_rows_without_or_with_shared_ids_are_judged_one_by_one(spark, folder):
     """Null ids, a row given twice, one id with two texts, and a clashing column."""
     path, items, _ = folder
     one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
-    near = one.replace("a7", "other")
+    near = one.replace("a0 ", "other ")
     leak = "before it " + items[2][1] + " after it"
     rows = [
         (None, one), (None, one), (None, leak), (7, two), (7, two), (8, one), (8, "a text of its own"),
