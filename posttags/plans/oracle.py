@@ -192,6 +192,20 @@ def _bayes(fitted: str = "TRUE", tested: str = "TRUE") -> dict[str, str]:
     }
 
 
+def _bayes_of_posts(dims: int | None) -> str:
+    """Naive Bayes of TEXT_TAG over the selected terms, or the first ``dims`` of them."""
+    used = f"features[1:{dims}]" if dims else "features"
+    rest = {name: re.sub(r"\b(points|slots)\b", r"nb_\1", sql) for name, sql in _bayes().items()}
+    return _sql(
+        """SELECT label, CAST(sum(CASE WHEN prediction THEN 0 ELSE 1 END) AS BIGINT) AS predicted_false,
+           CAST(sum(CASE WHEN prediction THEN 1 ELSE 0 END) AS BIGINT) AS predicted_true
+           FROM decided GROUP BY label""", *_TEXT, extra={
+            "nb_points": f"SELECT id, {used} AS features, tags FROM text_points",
+            "nb_slots": """SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS idx,
+                           unnest(features) AS value FROM nb_points""",
+            **rest, "tag_names": f"SELECT '{TEXT_TAG}' AS tag"})
+
+
 def _sql(final: str, *names: str, extra: dict[str, str] | None = None) -> str:
     known = {**CTES, **(extra or {})}
     wanted = [n for n in known if n in names or (extra and n in extra)]
@@ -219,6 +233,10 @@ def _pairs(weight: str, condition: str) -> str:
         GROUP BY a.doc_id, b.doc_id HAVING {value} >= {MIN_COSINE}"""
 
 
+_SIMILAR_IDS = {
+    "similar_ids": f"""SELECT id0, id1, cosine FROM ({_pairs("a.u * b.u", "a.doc_id >= b.doc_id")})
+                       WHERE id0 <> id1"""
+}
 _PARTS = "string_split(value, '>>>')"
 _TAG_TEXT = (
     f"array_to_string(list_filter(string_split_regex({_PARTS}[2], '\\s+'), "
@@ -299,6 +317,12 @@ def oracle() -> dict[str, str]:
             """SELECT id0, id1, round(sum(a.u * b.u), 6) AS cosine FROM cells
                JOIN unit_all a ON a.doc_id = id0 JOIN unit_all b ON b.doc_id = id1 AND a.term = b.term
                GROUP BY id0, id1""", *_RATIO, "unit_all", "cells"),
+        "common_tokens_similar": _sql(
+            """SELECT id0, id1, a.term AS token, a.cnt AS repeats FROM similar_ids
+               JOIN counts a ON a.doc_id = id0 JOIN counts b ON b.doc_id = id1 AND a.term = b.term""",
+            *_RATIO, "bag_of", "bags", "unit", extra=_SIMILAR_IDS),
+        "cosine_of_similar": _sql(
+            "SELECT id0, id1, cosine FROM similar_ids", *_RATIO, "bag_of", "bags", "unit", extra=_SIMILAR_IDS),
         "post_copies": _sql(
             "SELECT doc_id, rep_id FROM bag_of JOIN bags ON bag_of.bag = bags.bag", *_WORDS, "bag_of", "bags"),
         "cosine_pairs": _sql(_pairs("a.u * b.u", "a.doc_id >= b.doc_id"), *_RATIO, "bag_of", "bags", "unit"),
@@ -361,14 +385,8 @@ def oracle() -> dict[str, str]:
             f"""SELECT label, CAST(sum(CASE WHEN prediction THEN 0 ELSE 1 END) AS BIGINT) AS predicted_false,
                 CAST(sum(CASE WHEN prediction THEN 1 ELSE 0 END) AS BIGINT) AS predicted_true
                 FROM decided WHERE {_NB_ONE} GROUP BY label""", "points", "slots", extra=_bayes()),
-        "nb_documents": _sql(
-            f"""SELECT label, CAST(sum(CASE WHEN prediction THEN 0 ELSE 1 END) AS BIGINT) AS predicted_false,
-                CAST(sum(CASE WHEN prediction THEN 1 ELSE 0 END) AS BIGINT) AS predicted_true
-                FROM decided WHERE tag = '{TEXT_TAG}' GROUP BY label""", *_TEXT, extra={
-                "nb_points": f"""SELECT id, features[1:{TEXT_DIMS}] AS features, tags FROM text_points""",
-                "nb_slots": """SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS idx,
-                               unnest(features) AS value FROM nb_points""",
-                **{name: re.sub(r"\b(points|slots)\b", r"nb_\1", sql) for name, sql in _bayes().items()}}),
+        "nb_documents": _bayes_of_posts(None),
+        "nb_documents_numdim": _bayes_of_posts(TEXT_DIMS),
         "nb_predict_all_tags_passes": _sql(
             "SELECT id, tag FROM decided WHERE prediction", "points", "slots", extra=_bayes()),
         "nb_predict_all_tags": _sql(

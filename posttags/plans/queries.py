@@ -324,6 +324,23 @@ def cosine_of_pairs(spark, sf_dir):
     return _rounded(similarity.cosine_of(pairs, _nested(spark, sf_dir)), "cosine")
 
 
+def _similar_ids(spark, sf_dir):
+    """The pairs of different posts that the prefix filter proposes and the cosine confirms."""
+    pairs = jobs.similar_posts(_documents(spark, sf_dir), MIN_COSINE).where("id0 != id1")
+    return materialise(pairs.select("id0", "id1"), "similar-ids")
+
+
+def common_tokens_similar(spark, sf_dir):
+    """What every pair of similar posts shares."""
+    return similarity.common_tokens(_similar_ids(spark, sf_dir), _nested(spark, sf_dir))
+
+
+def cosine_of_similar(spark, sf_dir):
+    """The pair operator on every pair of similar posts, as ``cosine_pairs`` gives them."""
+    pairs = _similar_ids(spark, sf_dir)
+    return _rounded(similarity.cosine_of(pairs, _nested(spark, sf_dir)), "cosine")
+
+
 def post_copies(spark, sf_dir):
     return tk.post_copies(_tokenised(spark, sf_dir))
 
@@ -480,7 +497,12 @@ def nb_confusion(spark, sf_dir):
 
 
 def nb_documents(spark, sf_dir):
-    """Naive Bayes from posts to confusion matrix, on the strongest terms."""
+    """Naive Bayes from posts to confusion matrix, on all selected terms."""
+    return jobs.bayes_of_posts(_posts(spark, sf_dir), TEXT_TAG, TOP_TERMS, None)
+
+
+def nb_documents_numdim(spark, sf_dir):
+    """The same on the first TEXT_DIMS of the selected terms."""
     return jobs.bayes_of_posts(_posts(spark, sf_dir), TEXT_TAG, TOP_TERMS, None, TEXT_DIMS)
 
 
@@ -523,7 +545,7 @@ QUERIES = {
         vocab_vectors, reduced_vectors, reduced_vectors_dense, doc_norms,
         sparse_from_dense, vector_sum, vec_add,
         pca_covariance, pca_axes, pca_transform, pca_documents, pca_nb,
-        common_tokens, cosine_of_pairs, post_copies, cosine_pairs, cosine_pairs_grid,
+        common_tokens, cosine_of_pairs, common_tokens_similar, cosine_of_similar, post_copies, cosine_pairs, cosine_pairs_grid,
         cosine_pairs_repeat,
         tag_counts, tag_total, top_percent_tags, posts_with_tag, non_tag_anti,
         train_test_split, train_semi,
@@ -532,7 +554,7 @@ QUERIES = {
         knn_hit_rate,
         knn_documents, knn_documents_metrics,
         class_prior, column_stats, nb_predict, nb_predict_holdout, nb_confusion,
-        nb_documents, nb_documents_pca, nb_predict_all_tags, nb_predict_all_tags_passes,
+        nb_documents, nb_documents_numdim, nb_documents_pca, nb_predict_all_tags, nb_predict_all_tags_passes,
         nb_top_tag_metrics,
     )
 }
