@@ -20,7 +20,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from posttags.llm.common import whole_text
+from posttags.llm.common import few, lean, whole_text
 from posttags.session import materialise
 
 LEAST = 12  # characters of a key-like run
@@ -28,9 +28,10 @@ LEAST = 12  # characters of a key-like run
 LONG, VARIED = 20, 8
 # Labelled findings the forest is trained on at most, of each label.
 SAMPLE = 5000
-# The most frequent words of the corpus that make up the dictionary, and words a task counts
-# before it passes its counts on.
-DICTIONARY, COUNTED = 5000, 400_000
+# A word is in the dictionary if its documents are at least one in DICTIONARY of those of all
+# words together, so at most DICTIONARY words are. Words a task counts before it passes them on.
+DICTIONARY, COUNTED = 200_000, 400_000
+SHORTEST_WORD, LONGEST_WORD = 4, 24
 TREES, DEPTH, NEIGHBOURS = 40, 8, 32
 CLASSES = 39  # letters, digit, and the signs + / _ - = , and anything else
 FINDING = "doc_id long, start long, length long, sha256 string, label int, features array<double>"
@@ -39,7 +40,7 @@ _KEYLIKE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}+=*" % LEAST)
 _DIGIT = re.compile(r"[0-9]")
 _MIXED = re.compile(r"(?=.*[a-z]).+[A-Z]")
-_WORD = re.compile(r"[a-z]{4,12}")
+_WORD = re.compile(r"(?<![^\W\d_])[a-z]{%d,%d}(?![^\W\d_])" % (SHORTEST_WORD, LONGEST_WORD))
 
 # Formats that are secrets, names that secrets are given to, and formats that are not.
 SECRET_FORMATS = re.compile(
@@ -103,16 +104,18 @@ def _named_values(text: str) -> Iterator[tuple[int, int]]:
 def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
     """Log chances of one character class after another, and the dictionary, over all texts.
 
-    Collected are one number for each pair of classes and DICTIONARY words.
+    The dictionary holds whole words, lower-cased, that at least two documents have and that
+    make up one part in DICTIONARY of all documents' words, each counted once a document.
+    Collected are one number for each pair of classes and at most DICTIONARY words.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, words = np.zeros(CLASSES * CLASSES, np.int64), Counter()
         for batch in batches:
-            for text in batch.column(1).to_pylist():
+            for text in few(batch.column(1)):
                 codes = _TABLE[np.frombuffer(text.encode(), np.uint8)]
                 pairs += np.bincount(codes[:-1] * CLASSES + codes[1:], minlength=len(pairs))
-                words.update(_WORD.findall(text))
+                words.update(set(_WORD.findall(text.lower())))
                 if len(words) > COUNTED:
                     yield counted(words)
                     words.clear()
@@ -124,13 +127,15 @@ def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
             [pa.array(list(some), pa.string()), pa.array(list(some.values()), pa.int64())], ["name", "n"]
         )
 
-    names = docs.mapInArrow(count, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    names = docs.mapInArrow(lean(count), "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
     names = materialise(names, "corpus-counts")
     pairs = np.full(CLASSES * CLASSES, 0.5)
     for row in names.where(F.col("name").startswith("#")).collect():
         pairs[int(row.name[1:])] += row.n
     pairs = pairs.reshape(CLASSES, CLASSES)
-    words = names.where(~F.col("name").startswith("#")).orderBy(F.desc("n"), "name").limit(DICTIONARY)
+    words = names.where(~F.col("name").startswith("#"))
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    words = words.where((F.col("n") > 1) & (F.col("n") * DICTIONARY >= total))
     return np.log(pairs / pairs.sum(axis=1, keepdims=True)), frozenset(r.name for r in words.collect())
 
 
@@ -138,7 +143,7 @@ def covered(candidate: str, words: frozenset[str]) -> float:
     """Share of a candidate's characters in dictionary words, taken longest first from the left."""
     low, at, inside = candidate.lower(), 0, 0
     while at < len(low):
-        size = next((n for n in range(12, 3, -1) if low[at : at + n] in words), 0)
+        size = next((n for n in range(LONGEST_WORD, SHORTEST_WORD - 1, -1) if low[at : at + n] in words), 0)
         inside += size
         at += size or 1
     return inside / len(low)
@@ -180,7 +185,7 @@ def find(docs: DataFrame, transitions: np.ndarray, words: frozenset[str]) -> Dat
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), few(batch.column(1))):
                 for start, end in candidates(text):
                     digest = hashlib.sha256(text[start:end].encode()).hexdigest()
                     seen = features(text, start, end, transitions, words)
@@ -190,7 +195,7 @@ def find(docs: DataFrame, transitions: np.ndarray, words: frozenset[str]) -> Dat
             names = ["doc_id", "start", "length", "sha256", "label", "features"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return docs.mapInArrow(scan, FINDING)
+    return docs.mapInArrow(lean(scan), FINDING)
 
 
 def train(findings: DataFrame, sample: int = SAMPLE) -> RandomForestClassificationModel | None:

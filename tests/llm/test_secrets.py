@@ -94,3 +94,17 @@ def test_short_values_come_out_judged(spark):
     rows = [(1, "password=Tr0ub4dor"), (2, "secret: correcthorsebattery"), (3, "pwd=x"), (4, "page 1234-5678-9012")]
     got = secrets.scan(table(spark, rows)).collect()
     assert sorted((r.doc_id, r.start, r.length) for r in got) == [(1, 9, 9), (2, 8, 19), (3, 4, 1), (4, 5, 14)]
+
+
+def test_dictionary_holds_whole_words_of_several_documents(spark):
+    rows = [
+        (1, "Capital letters, extraordinarily long words; für-immer " + "onlyhere " * 50),
+        (2, "capital EXTRAORDINARILY x1word word2x immer für"),
+        (3, None),
+        (None, "Immer wieder"),
+    ]
+    _, words = secrets.corpus_statistics(table(spark, rows).selectExpr("doc_id", "coalesce(text, '') AS text"))
+    assert words == {"capital", "extraordinarily", "immer"}
+    assert secrets.covered("extraordinarilyX", words) == pytest.approx(15 / 16)
+    _, none = secrets.corpus_statistics(table(spark, []).selectExpr("doc_id", "text"))
+    assert none == frozenset()
