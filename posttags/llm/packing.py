@@ -25,9 +25,9 @@ WINDOW = 1024
 # Pieces per bundle: bounds the memory and time of a task, whatever the number of documents.
 BUNDLE = 1500
 # Words a worker remembers with their ids before it starts anew.
-REMEMBER = 400_000
+REMEMBER = 500_000
 # Bytes of text handled at once; a longer text is handled alone.
-SLICE = 2_000_000
+SLICE = 4_000_000
 PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 _loaded: dict[str, "WordIds"] = {}
@@ -67,11 +67,6 @@ class WordIds:
             _loaded[path] = cls(path)
         return _loaded[path]
 
-    @classmethod
-    def forget(cls) -> None:
-        for ids in _loaded.values():
-            ids.known.clear()
-
     def _plain(self, word: str) -> bytes:
         """Ids of a word that the tokenizer does not split before merging."""
         mapped = word.encode().decode("latin-1").translate(self.alphabet)
@@ -196,7 +191,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataF
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(lean(pieces, WordIds.forget), ", ".join(f"{name} long" for name in PIECE))
+    return rows.mapInArrow(lean(pieces), ", ".join(f"{name} long" for name in PIECE))
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
