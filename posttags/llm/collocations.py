@@ -39,6 +39,8 @@ SAMPLED_DOCS, SAMPLED = 20_000, 1_000_000
 # The bitmap of frequent words: bits for each, and the most bits (32 MB).
 BITS_EACH, MOST_BITS = 16, 1 << 28
 _BLOCK = 1 << 16  # bits of the bitmap put together by one task
+# Phrases that one task ranks, times the number of phrases asked for: each round passes on a tenth.
+LOT = 10
 
 _LOWER, _BREAKS = bytes(range(65, 91)), b".,;:!?\n\x0b\x0c\r"
 _BREAK = b"\xff"  # no UTF-8 text has this byte
@@ -509,6 +511,22 @@ def _alone(found: DataFrame, share: int) -> DataFrame:
     return kept.where(F.coalesce(F.col("longer") * 100 < F.col("a") * share, F.lit(True))).drop("longer")
 
 
+def first_of_each(rows: DataFrame, count: int, top: int, lot: int = LOT) -> DataFrame:
+    """The first ``top`` rows of each language with their ``rank``, of at most ``count`` rows.
+
+    No task ranks a whole language. Shares of it, by hash of the phrase, pass on their own first
+    rows, among which the language's must be, until what is left of it is some ``lot * top`` rows.
+    """
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    shares = count // (lot * top)
+    while shares > 1:
+        share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(shares))).orderBy(*order)
+        rows = rows.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= top).drop("rank")
+        shares //= lot
+    whole = Window.partitionBy("lang").orderBy(*order)
+    return rows.withColumn("rank", F.row_number().over(whole).cast("long")).where(F.col("rank") <= top)
+
+
 def mine(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 100, part: int = PART) -> DataFrame:
     """The first ``top`` collocations of each language: ``lang, rank, phrase, a, l, r, n, score, size``.
 
@@ -525,7 +543,5 @@ def mine(docs: DataFrame, least: int = 100, top: int = 2000, share: int = 100, p
     words = materialise(word_counts(texts), "phrase-words")
     phrases = materialise(phrase_counts(texts, words, least, part), "phrases")
     found = materialise(scored(phrases, words), "phrase-scores")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = _alone(found, share).withColumn("rank", F.row_number().over(order).cast("long"))
-    kept = ranked.where(F.col("rank") <= top)
+    kept = first_of_each(_alone(found, share), found.count(), top)
     return kept.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "size")

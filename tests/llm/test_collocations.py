@@ -161,3 +161,19 @@ def test_equal_cuts_take_the_first(spark):
 def test_empty_and_without_phrases(spark):
     assert c.mine(docs_of(spark, [])).count() == 0
     assert c.mine(docs_of(spark, [(1, "en", "only a few words"), (2, None, None)])).count() == 0
+
+
+@pytest.mark.parametrize("lot", [2, 5, 1000])
+def test_shares_of_a_language_are_ranked_before_the_whole(spark, lot):
+    """Several rounds over one hot language with ties in score and count, or none."""
+    rnd = random.Random(3)
+    rows = [("en" if i % 9 else "de", f"w{i:04d} é{i % 7}", rnd.randint(0, 40), rnd.randint(1, 3)) for i in range(900)]
+    frame = spark.createDataFrame(rows, "lang string, phrase string, score bigint, a bigint")
+    wanted = []
+    for lang in ("de", "en"):
+        mine = sorted((-score, -a, phrase.encode()) for of, phrase, score, a in rows if of == lang)
+        wanted += [(lang, rank, phrase.decode()) for rank, (_, _, phrase) in enumerate(mine[:20], 1)]
+    ranked = c.first_of_each(frame, len(rows), 20, lot)
+    assert sorted(tuple(r) for r in ranked.select("lang", "rank", "phrase").collect()) == wanted
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == {2: 5, 5: 2, 1000: 1}[lot]
