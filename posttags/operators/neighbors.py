@@ -1,11 +1,14 @@
 """Exact K nearest neighbours and the tag vote.
 
-Every train post is filed under its closest pivot (a small sample of train vectors). The
-triangle inequality then tells, for each test post, which cells can hold one of its K
-neighbours; only those are searched. Cells larger than one task should hold are split into
-blocks, and so are the test posts that visit them, so no group grows with the data. A task
-compares one block of test posts with one block of train posts by a matrix product and
-passes on the K best per test post; a window merges them.
+A small sample of train posts, the scouts, steers the search. Their main axes give every
+vector a shadow: its coordinates on these axes and the length of the rest. Shadows are never
+farther apart than the vectors. Every train post is filed under the pivot, one of the scouts,
+whose shadow is closest, and each cell is known by the box around its shadows. The K-th
+distance of a test post to the scouts bounds its K-th distance to all posts, so cells whose
+box lies beyond that hold no neighbour; only the others are searched. Cells larger than one
+task should hold are split into blocks, and so are the test posts that visit them, so no
+group grows with the data. A task compares one block of test posts with one block of train
+posts by a matrix product and passes on the K best per test post; a window merges them.
 """
 
 from __future__ import annotations
@@ -21,7 +24,9 @@ from posttags.skew import HOT_ROWS, lookup
 
 DIGITS = 9  # distances are rounded to this many digits, then ties go to the lower id
 MAX_PIVOTS = 1024
-ROWS_PER_CELL = 1000  # wanted when choosing the number of pivots
+SCOUTS = 1024
+AXES = 8  # more axes make tighter boxes of more sides
+ROWS_PER_CELL = 250  # wanted when choosing the number of pivots
 BLOCK_BYTES = 64 << 20  # vectors of one side of one task
 SEARCH_BYTES = 64 << 20  # working memory of one numpy step
 
@@ -57,13 +62,13 @@ def nearest(
         return spark.createDataFrame([], empty)
     if pivots is None:
         pivots = min(MAX_PIVOTS, max(1, n_points // ROWS_PER_CELL))
-    centres = _pick_pivots(points, pivots)
+    guide = _scout(points, pivots)
     if block_rows is None:
-        block_rows = max(1, BLOCK_BYTES // (8 * max(1, centres.shape[1])))
+        block_rows = max(1, BLOCK_BYTES // (8 * max(1, guide.scouts.shape[1])))
 
-    filed = materialise(_file_points(points, centres), "knn-cells")
-    cells = _cell_shapes(filed, centres, k)
-    visits = materialise(_plan_visits(test, cells), "knn-visits")
+    filed = materialise(_file_points(points, guide), "knn-cells")
+    boxes = _cell_boxes(filed, guide)
+    visits = materialise(_plan_visits(test, guide, boxes, k), "knn-visits")
 
     blocks = _block_counts(filed, visits, block_rows)
     left = _spread_tests(visits, blocks)
@@ -97,29 +102,49 @@ def _distinct_points(train: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _pick_pivots(points: DataFrame, pivots: int):
-    """A hash sample of at most ``MAX_PIVOTS`` points, as a matrix on the driver."""
+@dataclass
+class Guide:
+    """What steers the search: a few vectors, their main axes, and the pivots' shadows."""
+
+    scouts: object
+    axes: object
+    pivots: object
+
+
+def _shadow(block, axes):
+    """Coordinates on the axes, and the length of what they leave out."""
     import numpy as np
 
-    sample = (
-        points.orderBy(F.xxhash64("id"), "id").limit(min(pivots, MAX_PIVOTS)).select("features")
-    )
-    return np.array([row.features for row in sample.collect()], dtype=np.float64)
+    along = block @ axes
+    rest = (block * block).sum(1) - (along * along).sum(1)
+    return np.column_stack([along, np.sqrt(np.maximum(rest, 0))])
 
 
-@dataclass
-class CellShapes:
-    """What is known of each cell: its pivot, extent, and K smallest distances to it."""
+def _square_distances(left, right):
+    """Squared distances of all rows; a matrix product, so close pairs lose digits."""
+    squares = (left * left).sum(1)[:, None] + (right * right).sum(1)[None, :]
+    return squares - 2 * left @ right.T
+
 
-    centres: object
-    nearest_edge: object
-    farthest_edge: object
-    radii: object
+def _scout(points: DataFrame, pivots: int, scouts: int = SCOUTS) -> Guide:
+    """A hash sample of at most ``SCOUTS`` points, as a matrix on the driver."""
+    import numpy as np
 
+    pivots = min(pivots, MAX_PIVOTS)
+    sample = points.orderBy(F.xxhash64("id"), "id").limit(max(scouts, pivots)).select("features")
+    vectors = np.array([row.features for row in sample.collect()], dtype=np.float64)
+    # The largest eigenvectors of the smaller of the two product matrices.
+    wide = vectors.shape[1] > len(vectors)
+    _, main = np.linalg.eigh(vectors @ vectors.T if wide else vectors.T @ vectors)
+    main = main[:, ::-1][:, :AXES]
+    axes, _ = np.linalg.qr(vectors.T @ main if wide else main)
+    return Guide(vectors, axes, _shadow(vectors[:pivots], axes))
 
-def _file_points(points: DataFrame, centres) -> DataFrame:
-    """Adds ``cell`` (closest pivot) and ``radius`` (distance to it)."""
-    rows_per_step = max(1, SEARCH_BYTES // 8 // len(centres))
+
+def _file_points(points: DataFrame, guide: Guide) -> DataFrame:
+    """Adds ``shadow`` and ``cell``, the pivot with the closest one."""
+    axes, pivots = guide.axes, guide.pivots
+    rows_per_step = max(1, SEARCH_BYTES // 8 // len(pivots))
 
     def assign(batches):
         import numpy as np
@@ -128,65 +153,51 @@ def _file_points(points: DataFrame, centres) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             flat = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-            block = flat.reshape(batch.num_rows, -1)
-            cell = np.empty(len(block), dtype=np.int32)
-            radius = np.empty(len(block))
-            for start in range(0, len(block), rows_per_step):
+            shadow = _shadow(flat.reshape(batch.num_rows, -1), axes)
+            cell = np.empty(len(shadow), dtype=np.int32)
+            for start in range(0, len(shadow), rows_per_step):
                 some = slice(start, start + rows_per_step)
-                part = block[some]
-                square = (
-                    (part * part).sum(1)[:, None]
-                    - 2 * part @ centres.T
-                    + (centres * centres).sum(1)[None, :]
-                )
-                cell[some] = square.argmin(1)
-                radius[some] = np.linalg.norm(part - centres[cell[some]], axis=1)
+                cell[some] = _square_distances(shadow[some], pivots).argmin(1)
+            ends = np.arange(0, shadow.size + 1, shadow.shape[1], dtype=np.int32)
+            shadows = pa.ListArray.from_arrays(pa.array(ends), pa.array(shadow.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell), pa.array(radius)],
-                ["id", "ids", "features", "cell", "radius"],
+                [*batch.columns, pa.array(cell), shadows],
+                ["id", "ids", "features", "cell", "shadow"],
             )
 
     return points.mapInArrow(
         assign,
-        "id bigint, ids array<bigint>, features array<double>, cell int, radius double",
+        "id bigint, ids array<bigint>, features array<double>, cell int, shadow array<double>",
     )
 
 
-def _cell_shapes(filed: DataFrame, centres, k: int) -> CellShapes:
-    """At most ``MAX_PIVOTS`` * (K + 1) numbers reach the driver."""
+def _cell_boxes(filed: DataFrame, guide: Guide):
+    """Lower and upper corner of each cell's box; at most ``MAX_PIVOTS`` rows reach the driver."""
     import numpy as np
 
-    n_cells = len(centres)
-    near, far = np.full(n_cells, np.inf), np.full(n_cells, -np.inf)
-    edges = filed.groupBy("cell").agg(F.min("radius").alias("lo"), F.max("radius").alias("hi"))
-    for row in edges.collect():
-        near[row.cell], far[row.cell] = row.lo, row.hi
-    radii = np.full((n_cells, k), np.inf)
-    inner = Window.partitionBy("cell").orderBy("radius", "id")
-    smallest = (
-        filed.select("cell", "radius", F.row_number().over(inner).alias("rn"))
-        .where(F.col("rn") <= k)
-        .select("cell", "radius", "rn")
+    low = np.full(guide.pivots.shape, np.inf)
+    high = np.full(guide.pivots.shape, -np.inf)
+    sides = [F.get("shadow", F.lit(i)) for i in range(guide.pivots.shape[1])]
+    corners = filed.groupBy("cell").agg(
+        F.array(*map(F.min, sides)).alias("low"), F.array(*map(F.max, sides)).alias("high")
     )
-    for row in smallest.collect():
-        radii[row.cell, row.rn - 1] = row.radius
-    return CellShapes(centres, near, far, radii)
+    for row in corners.collect():
+        low[row.cell], high[row.cell] = row.low, row.high
+    return low, high
 
 
-def _plan_visits(test: DataFrame, cells: CellShapes) -> DataFrame:
+def _plan_visits(test: DataFrame, guide: Guide, boxes, k: int) -> DataFrame:
     """``test_id, features, cells``: the cells that may hold a neighbour of the post.
 
-    K known points bound the K-th distance from above; a cell whose closest possible
-    point lies beyond that bound cannot contribute.
+    With fewer than K scouts there is no bound, and every cell is visited.
     """
-    centres, near, far, radii = cells.centres, cells.nearest_edge, cells.farthest_edge, cells.radii
-    (n_cells, k), rounding = radii.shape, 10.0**-DIGITS
-    step = max(1, SEARCH_BYTES // 8 // (n_cells * k))
+    scouts, axes, (low, high), rounding = guide.scouts, guide.axes, boxes, 10.0**-DIGITS
+    step = max(1, SEARCH_BYTES // 8 // max(len(scouts), low.size))
 
     def choose(batches):
         import numpy as np
 
-        gaps = np.array([np.linalg.norm(centres - centre, axis=1) for centre in centres])
+        filled = np.isfinite(low[:, 0])
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -195,27 +206,16 @@ def _plan_visits(test: DataFrame, cells: CellShapes) -> DataFrame:
             lists = []
             for start in range(0, len(block), step):
                 part = block[start : start + step]
-                square = (
-                    (part * part).sum(1)[:, None]
-                    - 2 * part @ centres.T
-                    + (centres * centres).sum(1)[None, :]
-                )
-                far_off = np.sqrt(np.maximum(square, 0))
-                # Rounding error of the matrix product, and of the rounded distances.
-                scale = 1 + (part * part).sum(1) + (centres * centres).sum(1).max()
-                slack = 1e-6 * np.sqrt(scale) + rounding
-                reach = (far_off[:, :, None] + radii[None, :, :]).reshape(len(part), -1)
-                bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
-                lowest = np.maximum(far_off - far[None, :], near[None, :] - far_off)
-                own = far_off.argmin(1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    # Distance to the plane halfway between the own and the other pivot.
-                    plane = (square - square[np.arange(len(part)), own][:, None]) / (2 * gaps[own])
-                lowest = np.maximum(lowest, np.where(np.isfinite(plane), plane, 0))
-                lists.extend(
-                    np.flatnonzero(row).astype(np.int32)
-                    for row in (lowest <= (bound + slack)[:, None]) & np.isfinite(near)[None, :]
-                )
+                bound = np.full(len(part), np.inf)
+                if len(scouts) >= k:
+                    square = np.partition(_square_distances(part, scouts), k - 1, axis=1)[:, k - 1]
+                    # Rounding error of the product and the shadows, and of the rounded distances.
+                    slack = 1e-6 * np.sqrt(1 + (part * part).sum(1) + np.maximum(square, 0))
+                    bound = np.sqrt(np.maximum(square, 0)) + slack + rounding
+                own = _shadow(part, axes)[:, None, :]
+                gap = np.maximum(np.maximum(low[None] - own, own - high[None]), 0)
+                near = (gap * gap).sum(2) <= (bound * bound)[:, None]
+                lists.extend(np.flatnonzero(row).astype(np.int32) for row in near & filled[None, :])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lists, pa.list_(pa.int32()))],
                 ["test_id", "features", "cells"],

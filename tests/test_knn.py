@@ -113,16 +113,50 @@ def test_matches_brute_force(spark, name):
     assert ranked(found) == brute(test, train, 7)
 
 
+def visits(spark, values, n_train, k, cells):
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(values)]
+    schema = "id bigint, features array<double>"
+    train = spark.createDataFrame(rows[:n_train], schema)
+    test = spark.createDataFrame(rows[n_train:], schema)
+    points = neighbors._distinct_points(train, k)
+    guide = neighbors._scout(points, cells)
+    boxes = neighbors._cell_boxes(neighbors._file_points(points, guide), guide)
+    planned = neighbors._plan_visits(test, guide, boxes, k)
+    return planned.select(F.sum(F.size("cells"))).first()[0], test, train
+
+
 def test_pivots_save_visits(spark):
-    values = cases()["clusters"]
+    visited, _, _ = visits(spark, cases()["clusters"], 200, 3, 12)
+    assert visited < 100 * 12 / 2
+
+
+def term_vectors(rows=1500, terms=200):
+    """Few terms a post, frequent ones more often, lengths from short to very long."""
+    rng = np.random.default_rng(11)
+    share = 1 / np.arange(1, terms + 1)
+    length = np.exp(rng.normal(3, 1.2, size=rows)).astype(int) + 1
+    counts = np.array([rng.multinomial(n, share / share.sum()) for n in length])
+    return counts * np.log(rows / (1 + (counts > 0).sum(0)))
+
+
+def test_term_vectors_skip_cells(spark):
+    """Wide vectors of posts: cells are left out, and the result is that of brute force."""
+    values = term_vectors()
+    visited, test, train = visits(spark, values, 1300, 5, 40)
+    assert visited < 200 * 40 * 0.9
+    rows = [(i, x) for i, x in enumerate(values.tolist())]
+    got = ranked(neighbors.nearest(test, train, 5, pivots=40, block_rows=50))
+    assert got == brute(rows[1300:], rows[:1300], 5)
+
+
+def test_more_neighbours_than_scouts(spark, monkeypatch):
+    monkeypatch.setattr(neighbors._scout, "__defaults__", (4,))
+    values = cases()["spread"]
     rows = [(i, [float(v) for v in x]) for i, x in enumerate(values)]
     schema = "id bigint, features array<double>"
     train, test = spark.createDataFrame(rows[:200], schema), spark.createDataFrame(rows[200:], schema)
-    points = neighbors._distinct_points(train, 3)
-    centres = neighbors._pick_pivots(points, 12)
-    shapes = neighbors._cell_shapes(neighbors._file_points(points, centres), centres, 3)
-    visited = neighbors._plan_visits(test, shapes).select(F.sum(F.size("cells"))).first()[0]
-    assert visited < 100 * 12 / 2
+    for k in (3, 7):
+        assert ranked(neighbors.nearest(test, train, k, pivots=4)) == brute(rows[200:], rows[:200], k)
 
 
 def test_fewer_points_than_k(test, train):
