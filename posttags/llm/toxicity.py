@@ -59,6 +59,7 @@ class Voters:
     lexicon: list[str]
     _votes: dict[str, int] = field(default_factory=dict, repr=False)
     _hashed: dict[str, list[int]] = field(default_factory=dict, repr=False)
+    _both: dict[str, tuple[int, list[int]]] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.bit = {word: 1 << (PATTERNS + i) for i, word in enumerate(self.lexicon)}
@@ -71,7 +72,7 @@ class Voters:
         return self.votes(text).to_bytes(-(-len(self) // 8), "little")
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "bit": self.bit, "_votes": {}, "_hashed": {}}
+        return {"lexicon": self.lexicon, "bit": self.bit, "_votes": {}, "_hashed": {}, "_both": {}}
 
     def _token_votes(self, token: str) -> int:
         """The votes a token casts, and SHOUTING if it is in upper case."""
@@ -102,10 +103,40 @@ class Voters:
                 votes |= cast
                 hits += cast >> PATTERNS != 0
                 upper += cast >> SHOUTING & 1
+        return self._settled(votes, hits, upper, len(tokens))
+
+    @staticmethod
+    def _settled(votes: int, hits: int, upper: int, tokens: int) -> int:
+        """``votes`` of tokens with those of the patterns."""
         votes &= ~(1 << SHOUTING)
         votes |= (hits == 0) << NONE | (hits >= 2) << SEVERAL
-        votes |= (hits * 50 >= max(1, len(tokens))) << DENSE
-        return votes | (2 * upper > len(tokens)) << SHOUTING
+        votes |= (hits * 50 >= max(1, tokens)) << DENSE
+        return votes | (2 * upper > tokens) << SHOUTING
+
+    def _token_both(self, token: str) -> tuple[int, list[int]]:
+        if len(self._both) >= REMEMBER:
+            self._both.clear()
+        names, votes = features_of(token.lower()), 0
+        for name in names:
+            votes |= self.bit.get(name, 0)
+        hashed = [xxhash.xxh32_intdigest(name) % BUCKETS for name in names]
+        found = self._both[token] = votes | token.isupper() << SHOUTING, hashed
+        return found
+
+    def both(self, text: str) -> tuple[bytes, np.ndarray]:
+        """``packed`` and ``features`` of a whole text, which is split and looked up once."""
+        tokens, known = set(text.split()), self._both
+        votes, hits, upper = 0, 0, 0
+        hashed: set[int] = set()
+        for token in tokens:
+            cast, names = known.get(token) or self._token_both(token)
+            hashed.update(names)
+            if cast:
+                votes |= cast
+                hits += cast >> PATTERNS != 0
+                upper += cast >> SHOUTING & 1
+        votes = self._settled(votes, hits, upper, len(tokens))
+        return votes.to_bytes(-(-len(self) // 8), "little"), np.fromiter(hashed, np.int32, len(hashed))
 
     def features(self, text: str) -> np.ndarray:
         """The distinct features of a whole text."""
@@ -312,9 +343,8 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, cut: float =
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            votes = [voters.packed(text) for text in texts]
-            scores = linear.score(votes, [voters.features(text) for text in texts])
+            found = [voters.both(text) for text in batch.column(1).to_pylist()]
+            scores = linear.score([votes for votes, _ in found], [features for _, features in found])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array((scores >= cut).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
