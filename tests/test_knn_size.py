@@ -47,3 +47,10 @@ def test_packed_vectors_come_back():
         vectors = neighbors._Vectors(pa.chunked_array([at]), values, 4)
         assert (vectors.rows(np.array(some)) == block[some]).all()
     assert (neighbors._Vectors(at.slice(2, 3), values.slice(2, 3), 4).rows(np.arange(3)) == block[2:5]).all()
+
+
+def test_large_parts_spare_copies(spark):
+    """Each part of one side gets a copy of the other side, so 100 MB are not cut further."""
+    big = spark.range(100).selectExpr("cast(repeat('x', 1 << 20) as binary) as values", "cast('' as binary) as at")
+    assert neighbors._n_parts(big, 1) == 1
+    assert neighbors._n_parts(big.union(big), 1) == 2
